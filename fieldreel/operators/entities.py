@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldreel.functions.columns import normalise, normalised_distance, phonetic_key
 from fieldreel.functions.python import fold, ratio
 from fieldreel.operators.ranking import top_k_per
+from fieldreel.session import steady
 
 
 def folded(name: Column) -> Column:
@@ -39,6 +40,7 @@ def contains_matches(df: DataFrame, id: str, text: str, phrases: DataFrame, phra
 
 def resolve_aliases(df: DataFrame, id: str, name: str, registry: DataFrame, entity: str, aliases: str) -> DataFrame:
     """Rows (id, entity, n): an alias of one entity resolves to it; else the entities that hold all of the name's words in their aliases. ``entity`` is null unless n is 1."""
+    steady(df.sparkSession)
     known = registry.select(F.col(entity).alias("_e"), F.explode(aliases).alias("_a")).select("_e", normalise(F.col("_a")).alias("_a")).where("_a <> ''").distinct()
     asks = df.select(F.col(id), normalise(F.col(name)).alias("_q")).where("_q <> ''").distinct()
     exact = asks.join(known, F.col("_q") == F.col("_a")).groupBy(id).agg(F.countDistinct("_e").alias("n"), F.min("_e").alias("_e"))
@@ -62,6 +64,7 @@ def fuzzy_matches(df: DataFrame, id: str, name: str, registry: DataFrame, entity
 
 def phonetic_matches(df: DataFrame, id: str, name: str, registry: DataFrame, entity: str, known: str, most: float = 0.30) -> DataFrame:
     """Rows (id, entity, distance): the first registry entry of the same sound, else the one nearest in sound within ``most``, of those whose sound begins alike or has the same length but one."""
+    steady(df.sparkSession)
     a = df.select(F.col(id), phonetic_key(F.col(name)).alias("_ka")).where("_ka <> ''").distinct()
     b = registry.select(F.col(entity), phonetic_key(F.col(known)).alias("_kb")).where("_kb <> ''").distinct()
     exact = a.join(b, F.col("_ka") == F.col("_kb")).groupBy(id).agg(F.min(entity).alias(entity)).withColumn("distance", F.lit(0.0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldreel.session import steady
+
 #: Rows are scanned by entity and stretch of this length; stretches of an entity meet only as one summary row each.
 STRETCH_MS = 600_000
 #: Longer gaps are breaks and not listed.
@@ -27,6 +29,7 @@ def periods_and_gaps(df: DataFrame, entity: str, start: Column, end: Column, *,
     of the entity's time, and carried over from the summaries of its earlier stretches; so a hot entity spreads over
     many tasks, and what meets in one task grows with an entity's time, not with its rows.
     """
+    steady(df.sparkSession)
     rows = df.select(F.col(entity).alias("entity"), start.alias("s"), end.alias("e")).where("entity IS NOT NULL AND s < e")
     rows = rows.groupBy("entity", F.floor(F.col("s") / stretch).alias("part"), "s").agg(F.max("e").alias("e"))
     earlier = Window.partitionBy("entity").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

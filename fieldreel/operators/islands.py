@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldreel.operators.intervals import periods_and_gaps
 from fieldreel.operators.joins import interval_join
+from fieldreel.session import steady
 
 
 def merge_hits(df: DataFrame, entity: str, start: str, end: str, value: str, *, pad: float = 0.0, gap: float = 0.0) -> DataFrame:
@@ -36,6 +37,7 @@ def cluster_by_gap(df: DataFrame, entity: str, start: str, end: str, gap: float,
 
 def uncovered(frames: DataFrame, df: DataFrame, key: str, frame: tuple[str, str], span: tuple[str, str]) -> DataFrame:
     """Rows (key, start, end): parts of each key's frame that none of its spans covers, edges included. Bounds are whole numbers."""
+    steady(df.sparkSession)
     bounds = frames.select(F.col(key).alias("entity"), F.col(frame[0]).alias("f0"), F.col(frame[1]).alias("f1")).dropna().where("f0 < f1")
     inside = df.join(bounds, df[key] == bounds["entity"]).select("entity", F.greatest(F.col(span[0]), F.col("f0")).alias("s"), F.least(F.col(span[1]), F.col("f1")).alias("e"))
     periods = periods_and_gaps(inside, "entity", F.col("s"), F.col("e")).where("kind = 'period'").select("entity", F.col("start").alias("s"), F.col("end").alias("e"))
@@ -47,6 +49,7 @@ def uncovered(frames: DataFrame, df: DataFrame, key: str, frame: tuple[str, str]
 
 def subtract(df: DataFrame, holes: DataFrame, key: str, span: tuple[str, str], hole: tuple[str, str], least: int = 1) -> DataFrame:
     """Rows (key, start, end): merged spans without the holes, if at least ``least`` long. Bounds are whole numbers."""
+    steady(df.sparkSession)
     own = periods_and_gaps(df, key, F.col(span[0]), F.col(span[1])).where("kind = 'period'").select(F.col("entity"), F.col("start").alias("s"), F.col("end").alias("e"))
     cut = periods_and_gaps(holes, key, F.col(hole[0]), F.col(hole[1])).where("kind = 'period'").select(F.col("entity"), F.col("start").alias("s"), F.col("end").alias("e"))
     # a boundary sweep: what is inside a span and in no hole between neighbouring boundaries

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldreel.functions.columns import overlap
+from fieldreel.session import steady
 
 
 def _stretch(c: Column, width: float) -> Column:
@@ -96,6 +97,7 @@ def near_match(wanted: DataFrame, present: DataFrame, keys: list[str], id: str,
 
     Rows meet by all keys but one at a time, so no block is wider than rows that agree in all others.
     """
+    steady(wanted.sparkSession)
     there = present.select(F.col(id).alias("_to"), *keys)
     exact = wanted.join(there, keys).groupBy(id).agg(F.min("_to").alias("to")).withColumn("status", F.lit("exact"))
     rest = wanted.join(exact.select(id), id, "left_anti")

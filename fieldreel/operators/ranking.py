@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldreel.session import steady
+
 
 def top_k_per(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first k rows of each group, with their rank; Spark keeps k rows per group before the shuffle."""
@@ -89,6 +91,7 @@ def greedy_chunks(df: DataFrame, by: str, start: str, end: str, text: str, most_
 
 def assign_ids(df: DataFrame, key: list[str], prefix: str, order: list[str], prior: DataFrame) -> DataFrame:
     """``df`` with clip_id: the id that ``prior`` (key.., prefix, number) has for the key, else the next free number of the prefix in order."""
+    steady(df.sparkSession)
     known = df.join(prior.select(*key, F.col("number").alias("_known")), key, "left")
     taken = prior.select(prefix, "number").distinct()
     fresh = known.where("_known IS NULL").withColumn("_r", F.row_number().over(Window.partitionBy(prefix).orderBy(*order)))

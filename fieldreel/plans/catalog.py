@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldreel.functions.columns import readable_text
+from fieldreel.session import steady
 
 _S, _D, _L, _I = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
 
@@ -52,6 +53,7 @@ def _layer(records: DataFrame, layer: str) -> DataFrame:
 
 def project(records: DataFrame, transcripts: DataFrame) -> dict[str, DataFrame]:
     """All flat tables of nested asset records and transcripts. A record without asset_id is left out; of repeated keys the bridge tables keep one."""
+    steady(records.sparkSession)
     records = records.where("asset_id IS NOT NULL")
     first = F.get("asset_semantic_summary.chunks", 0)
     with_transcript = transcripts.select("asset_id", F.lit(1).alias("_t")).distinct()

@@ -17,6 +17,7 @@ from fieldreel.operators.joins import covered_seconds, interval_join
 from fieldreel.operators.ranking import diversify
 from fieldreel.operators.search import build_index, bm25, match
 from fieldreel.operators.similarity import cosine_top_k, group_means
+from fieldreel.session import steady
 
 Tables = Mapping[str, DataFrame]
 #: Length of the stretches by which times of an asset meet.
@@ -278,10 +279,11 @@ def source_windows(assets: DataFrame, moments: DataFrame, target: float, *, buff
     From a second after the first good moment with room up to the next spoiled one or the end; else the largest gap
     between spoiled ones; without moments after a short head, none for a static camera.
     """
+    steady(assets.sparkSession)
     m = moments.where("timestamp_sec IS NOT NULL").join(assets.select("asset_id", "duration_sec"), "asset_id").select("asset_id", "duration_sec", F.col("timestamp_sec").alias("t"), moment_class(F.col("description")).alias("c"))
     w = Window.partitionBy("asset_id").orderBy("t", "c")
     bad = F.when(F.col("c") == "negative", F.col("t"))
-    later = F.min(bad).over(Window.partitionBy("asset_id").orderBy("t").rangeBetween(buffer + 0.01, Window.unboundedFollowing))
+    later = F.min(bad).over(Window.partitionBy("asset_id").orderBy(F.round(F.col("t") * 1_000).cast("bigint")).rangeBetween(round(buffer * 1_000) + 11, Window.unboundedFollowing))
     good = m.withColumn("next", F.coalesce(later, "duration_sec")).where((F.col("c") == "positive") & (F.col("next") - F.col("t") - buffer >= target))
     good = good.groupBy("asset_id").agg(F.min("t").alias("t")).select("asset_id", (F.col("t") + buffer).alias("good"))
     negative = m.where("c = 'negative'")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +67,11 @@ def threshold_sweep(df: DataFrame, value: str, truth: Column, thresholds: list[f
     return df.agg(F.array(*aggs).alias("r")).select(F.inline("r"))
 
 
-def key_problems(df: DataFrame, key: list[str]) -> DataFrame:
-    """Rows (key.., n) of keys that occur more than once or hold a null."""
-    null = F.greatest(*(F.col(k).isNull() for k in key)) if len(key) > 1 else F.col(key[0]).isNull()
-    return df.groupBy(*key).agg(F.count("*").alias("n")).where((F.col("n") > 1) | null)
+def key_problems(df: DataFrame, key: list[str], out: str = "n") -> DataFrame:
+    """Rows (key.., out) of keys that occur more than once or hold a null, with their number."""
+    counts = df.groupBy(*key).agg(F.count("*").alias("_count"))
+    null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
+    return counts.where((F.col("_count") > 1) | null).withColumnRenamed("_count", out)
 
 
 def validate(df: DataFrame, id: str, rules: dict[str, tuple[str, Column]]) -> DataFrame:

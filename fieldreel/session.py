@@ -3,23 +3,41 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def steady(spark: SparkSession) -> None:
+    """Plan unions as before 4.1: otherwise a union may claim a partitioning that adaptive execution has changed since, and a join on it fails."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a dataset folder."""
+    steady(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset, as in tests."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files, so a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and go on from its files.
+
+    A lost executor then costs no recomputation. Unlike a checkpoint, the table has its true size, where a checkpoint
+    keeps the estimate of the plan behind it, which multiplies with every join of a loop. The tables stay until the
+    folder is emptied, as checkpoints do by default.
+    """
+    spark = df.sparkSession
+    steady(spark)
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def json_line_errors(spark: SparkSession, path: str) -> DataFrame:
     """Rows (file, line, reference) of lines that are not JSON; lines count from 1 within their file."""
-    files = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "text"))
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "text"))
     bad = files.where((F.trim("text") != "") & F.expr("try_parse_json(text) IS NULL"))
     return bad.select("file", (F.col("n") + 1).alias("line"), F.concat("file", F.lit("#L"), F.lpad((F.col("n") + 1).cast("string"), 3, "0")).alias("reference"))
 
@@ -76,7 +76,7 @@ def url_of_path(path: Column) -> Column:
 
 def rewrite_text(spark: SparkSession, path: str, pattern: str, replacement: str) -> DataFrame:
     """Rows (file, text) of whole files with a pattern replaced and all else as it was."""
-    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", pattern, replacement).alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", pattern, replacement).alias("text"))
 
 
 def partial_hash(content: Column, length: Column) -> Column:
