@@ -25,9 +25,9 @@ FILTER_BITS = 1 << 24
 
 # Padding characters, closing characters, sign-offs and marks of transfer.
 PADDING = " \t\r\n  -=_*~"
-TERMINAL = r"(?s).*[.!?。！？][\"'”’»“)\]\s]*$"
-NUMBER_LINE = r"(?s)(?:.*\n)?\s*\d{1,3}[.)]$"
-SIGN_OFF = r"(?:\s*(?:\n\s*[—–]\s?[^\n]{1,40}|\([A-Z]{1,4}/[A-Z]{1,4}\)|#[\p{L}\p{N}_]+|https?://\S+|[\x{1F000}-\x{1FAFF}\x{FE0F}\x{200D}\x{2600}-\x{27BF}]+))+\s*$"
+TERMINAL = r"[.!?。！？][\"'”’»“)\]\s]*$"
+NUMBER_LINE = r"(?:^|\n)[ \t]*\d{1,3}[.)]$"
+SIGN_OFF = r"(?<!\s)(?:\s*(?:\n\s*[—–]\s?[^\n]{1,40}|\([A-Z]{1,4}/[A-Z]{1,4}\)|#[\p{L}\p{N}_]+|https?://\S+|[\x{1F000}-\x{1FAFF}\x{FE0F}\x{200D}\x{2600}-\x{27BF}]+))+\s*$"
 MARK_SAID = r"\s*(?:\.{2,}|…)?\s*(?:\((?:more|mehr|suite|más|continued)\)|\[(?:\+|…|\.\.\.|more)\])\s*$"
 MARK_DOTS = r"\s*(?:\.{3,}|…)\s*$"
 #: Characters at the end in which signatures and marks are looked for; all come from after the last sentence.
