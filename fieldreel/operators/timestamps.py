@@ -45,7 +45,7 @@ def parse(value: Column) -> Column:
     ``p`` holds, as written, year, month, day, hour, minute, second, fraction, a or p, offset, zone in brackets, zone;
     it is null for other texts. ``epoch`` is set, in microseconds, for bare numbers of 10, 13 or 16 digits.
     """
-    text = F.regexp_replace(value, r"^[\s\x{feff}\x{200b}]+|[\s\x{feff}\x{200b}]+$", "")
+    text = F.regexp_replace(value, r"^[\s\x{a0}\x{feff}\x{200b}]+|[\s\x{a0}\x{feff}\x{200b}]+$", "")
     number = text.rlike(r"^(?:\d{10}|\d{13}|\d{16})$")
     epoch = F.when(number, F.rpad(text, 16, "0").cast("bigint"))
     found = []
