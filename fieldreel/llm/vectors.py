@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 FIT_ROWS = 20_000
 #: Children of an inner node.
 BRANCHING = 16
-#: Rows that a leaf should hold.
-LEAF_ROWS = 400
+#: Rows that a leaf should hold: the larger, the fewer leaves a query visits, and the fewer copies of it are shuffled.
+LEAF_ROWS = 3_000
+#: Sample rows that a leaf holds at least.
+LEAF_SAMPLE = 32
 #: Rows of a leaf that one task compares at most on average; larger leaves are split by key.
 BLOCK_ROWS = 8_000
 #: Sample vectors that calibrate the number of leaf visits.
@@ -179,7 +181,7 @@ def similar_pairs(
     schema = f"key_lo {df.schema[key].dataType.simpleString()}, key_hi {df.schema[key].dataType.simpleString()}, cosine double"
     if len(x) < 2:
         return spark.createDataFrame([], schema)
-    tree = fit_tree(x, max(8, int(len(x) * leaf_rows / max(1, total))))
+    tree = fit_tree(x, max(LEAF_SAMPLE, int(len(x) * leaf_rows / max(1, total))))
     visits = calibrate(tree, x, k, least, recall)
     seen = np.concatenate([tree.visits(x[a : a + 4096], visits) for a in range(0, len(x), 4096)])
     scale = total / len(x) / block_rows
