@@ -157,14 +157,18 @@ def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     ends = cut_lineage(ends.withColumn("at_spike", near).drop("in_chars", "in_bytes", "chars", "bytes"))
     shares = ends.where("NOT at_spike").groupBy("kind").agg(F.avg((F.col("whole") | F.col("signed")).cast("double")).alias("usual"))
 
-    # what only the corpus can decide
-    asked = ends.join(shares, "kind", "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)) >= USUAL)
+    # sign-offs are torn only where a limit cut them; the few such texts ask how often others end alike
     last_token = F.regexp_replace(F.regexp_extract("end", r"(\S+)$", 1), r"\d", "9")
     torn = ends.where("signed").groupBy(last_token.alias("last")).agg(F.count("*").alias("alike"))
-    asked = asked.withColumn("last", F.when(F.col("signed"), last_token)).join(torn, "last", "left")
-    unclear = asked.where(~F.col("whole") & ~F.col("signed") & (F.col("mark") != "said") & ((F.col("mark") == "dots") | (~F.col("usual") & ~F.col("at_spike"))))
-    tails = unclear.select("kind", F.regexp_replace("bare", MARK_DOTS, "").alias("tail")).distinct()
-    endings = cut_lineage(tails.mapInPandas(_endings, "kind string, tail string, h4 bigint, h2 bigint, word string, in_word boolean"))
+    signed = ends.where("signed AND at_spike").withColumn("last", last_token).join(torn, "last").where("alike < 3").select("doc_id", "source", "at_spike", F.lit("limit").alias("reason"))
+
+    open_ends = ends.where("NOT whole AND NOT signed").join(shares, "kind", "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)) >= USUAL)
+    asks = (F.col("mark") == "dots") | ((F.col("mark") == "none") & ~F.col("usual") & ~F.col("at_spike"))
+    plain = open_ends.where(~asks).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").when(F.col("at_spike"), "limit").otherwise("open").alias("reason"))
+
+    # what only the corpus can decide
+    unclear = open_ends.where(asks).withColumn("tail", F.regexp_replace("bare", MARK_DOTS, ""))
+    endings = cut_lineage(unclear.select("kind", "tail").distinct().mapInPandas(_endings, "kind string, tail string, h4 bigint, h2 bigint, word string, in_word boolean"))
     counts = cut_lineage(_continuations(docs.select("kind", "text"), endings))
     seen = lambda n: counts.select(F.col("h").alias(f"h{n}"), F.col("goes").alias(f"goes{n}"), F.col("stops").alias(f"stops{n}"))
     vocabulary = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)(?=[^\p{L}])"), F.lit(1))).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
@@ -175,19 +179,10 @@ def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     both = lambda n: F.coalesce(f"goes{n}", F.lit(0)) + F.coalesce(f"stops{n}", F.lit(0))
     share = F.when(both(4) >= 3, F.col("goes4") / both(4)).when(both(2) >= 3, F.col("goes2") / both(2))
     judged = judged.select("kind", "tail", share.alias("share"), (F.col("in_word") & (F.coalesce("longer", F.lit(0)) >= 3) & (F.coalesce("itself", F.lit(0)) * 50 < F.coalesce("longer", F.lit(0)))).alias("inside"))
-    asked = asked.withColumn("tail", F.when(~F.col("whole") & ~F.col("signed"), F.regexp_replace("bare", MARK_DOTS, "")))
-    asked = asked.join(judged, ["kind", "tail"], "left")
-    reason = (
-        F.when(F.col("whole"), None)
-        .when(F.col("signed"), F.when(F.col("at_spike") & (F.col("alike") < 3), F.lit("limit")))
-        .when(F.col("mark") == "said", F.lit("mark"))
-        .when(F.col("mark") == "dots", F.when(F.col("inside") | F.col("share").isNull() | (F.col("share") >= 0.5), F.lit("dots")))
-        .when(F.col("at_spike"), F.lit("limit"))
-        .when(F.col("usual"), F.lit("open"))
-        .when(F.col("inside"), F.lit("word"))
-        .when(F.col("share") >= GOES_ON, F.lit("sentence"))
-    )
-    return asked.select("doc_id", "source", "at_spike", reason.alias("reason")).where(F.col("reason").isNotNull()).distinct()
+    by_dots = F.when(F.col("inside") | F.col("share").isNull() | (F.col("share") >= 0.5), "dots")
+    by_end = F.when(F.col("inside"), "word").when(F.col("share") >= GOES_ON, "sentence")
+    judged = unclear.join(judged, ["kind", "tail"]).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "dots", by_dots).otherwise(by_end).alias("reason"))
+    return signed.union(plain).union(judged.where("reason IS NOT NULL")).distinct()
 
 
 def truncation_rates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", kind: str = "doc_kind") -> DataFrame:
