@@ -159,7 +159,7 @@ def calibrate(tree: Tree, x: np.ndarray, k: int, least: float, recall: float, se
 
 
 def similar_pairs(
-    df: DataFrame, key: str, blob: str, dim: int, *, k: int = 5, least: float = 0.8, recall: float = 0.98, fit_rows: int = FIT_ROWS, leaf_rows: int = LEAF_ROWS, block_rows: int = BLOCK_ROWS
+    df: DataFrame, key: str, blob: str, dim: int, *, k: int = 5, least: float = 0.8, recall: float = 0.99, fit_rows: int = FIT_ROWS, leaf_rows: int = LEAF_ROWS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Distinct rows (key_lo, key_hi, cosine): pairs of different keys with cosine of at least ``least`` in which one is among the ``k`` most similar of the other.
 
