@@ -62,17 +62,43 @@ def fuzzy_matches(df: DataFrame, id: str, name: str, registry: DataFrame, entity
     return top_k_per(scored, [id], [F.desc("ratio"), F.col(entity)], k)
 
 
+def _parts_met(keys: DataFrame, key: str, others: DataFrame, other: str, most: float, *, cut: bool) -> DataFrame:
+    """``keys`` with the parts ``_p`` by which they meet all keys of the other side within ``most`` of the longer length.
+
+    For each pair of lengths the one side (``cut``) is cut into one part more than edits are allowed, so that one part
+    stays whole; the other side gives the pieces that can be that part, by the edits left before and behind it.
+    """
+    lengths = others.select(F.length(other).alias("_m")).distinct()
+    n = F.length(key)
+    rows = keys.join(F.broadcast(lengths), F.abs(n - F.col("_m")) <= most * F.greatest(n, F.col("_m")) + 1e-9)  # a row per length
+    rows = rows.withColumn("_most", F.floor(most * F.greatest(n, F.col("_m")) + 1e-9).cast("int"))
+    whole, asked = (n, F.col("_m")) if cut else (F.col("_m"), n)
+    rows = rows.select("*", whole.alias("_w"), asked.alias("_q"), F.explode(F.sequence(F.lit(0), F.col("_most"))).alias("_i"))
+    edge = lambda i: F.floor(i * F.col("_w") / (F.col("_most") + 1)).cast("int")
+    rows = rows.withColumn("_from", edge(F.col("_i"))).withColumn("_size", edge(F.col("_i") + 1) - F.col("_from"))
+    if not cut:
+        longer, before, behind = F.col("_q") - F.col("_w"), F.col("_i"), F.col("_most") - F.col("_i")
+        low = F.greatest(F.col("_from") - before, F.col("_from") + longer - behind, F.lit(0))
+        high = F.least(F.col("_from") + before, F.col("_from") + longer + behind, F.col("_q") - F.col("_size"))
+        rows = rows.where(low <= high).withColumn("_from", F.explode(F.sequence(low, high)))
+    return rows.select(*keys.columns, F.struct("_w", "_q", "_i", F.substring(F.col(key), F.col("_from") + 1, F.col("_size")).alias("_s")).alias("_p")).distinct()
+
+
 def phonetic_matches(df: DataFrame, id: str, name: str, registry: DataFrame, entity: str, known: str, most: float = 0.30) -> DataFrame:
-    """Rows (id, entity, distance): the first registry entry of the same sound, else the one nearest in sound within ``most``, of those whose sound begins alike or has the same length but one."""
+    """Rows (id, entity, distance): the first registry entry of the same sound, else the one nearest in sound within ``most``, the first of equally near ones.
+
+    Distinct sounds meet by parts that are complete for ``most`` of the longer sound, so no pair within it is passed over.
+    """
     steady(df.sparkSession)
     a = df.select(F.col(id), phonetic_key(F.col(name)).alias("_ka")).where("_ka <> ''").distinct()
-    b = registry.select(F.col(entity), phonetic_key(F.col(known)).alias("_kb")).where("_kb <> ''").distinct()
+    b = registry.select(F.col(entity), phonetic_key(F.col(known)).alias("_kb")).where(F.col(entity).isNotNull() & (F.col("_kb") != "")).groupBy("_kb").agg(F.min(entity).alias(entity))
     exact = a.join(b, F.col("_ka") == F.col("_kb")).groupBy(id).agg(F.min(entity).alias(entity)).withColumn("distance", F.lit(0.0))
     rest = a.join(exact, id, "left_anti")
-    starts = lambda c: F.array_distinct(F.array(F.concat(F.lit("<"), F.left(c, F.lit(2))), F.concat(F.lit(">"), F.right(c, F.lit(2)))))
-    near = rest.select("*", F.explode(starts(F.col("_ka"))).alias("_k")).join(b.select("*", F.explode(starts(F.col("_kb"))).alias("_k")), "_k")
+    asks = rest.select("_ka").distinct()
+    near = _parts_met(asks, "_ka", b, "_kb", most, cut=False).join(_parts_met(b, "_kb", asks, "_ka", most, cut=True), "_p")
     near = near.withColumn("distance", normalised_distance(F.col("_ka"), F.col("_kb"))).where(F.col("distance") <= most)
-    near = near.groupBy(id).agg(F.min(F.struct("distance", entity)).alias("m")).select(id, f"m.{entity}", "m.distance")
+    near = near.groupBy("_ka").agg(F.min(F.struct("distance", entity)).alias("m"))
+    near = rest.join(near, "_ka").groupBy(id).agg(F.min("m").alias("m")).select(id, f"m.{entity}", "m.distance")
     return exact.unionByName(near)
 
 

@@ -721,9 +721,10 @@ def j30(d):
     return entities.dictionary_matches(d.select("doc_id", "text").distinct(), "doc_id", "text", words, "phrase", "target")
 
 
-@_query("j28_sounds_alike", None, "nation")
-def j28(n):
-    return entities.phonetic_matches(n.select(F.col("n_nationkey").alias("id"), "n_name"), "id", "n_name", n.select(F.col("n_nationkey").alias("e"), F.upper("n_name").alias("known")), "e", "known")
+@_query("j28_sounds_alike", None, "places")
+def j28(p):
+    typed = p.select(F.explode("aliases").alias("alias")).where("alias IS NOT NULL").distinct()
+    return entities.phonetic_matches(typed, "alias", "alias", p.select("id", "canonical_name").distinct(), "id", "canonical_name")
 
 
 @_query("j27_fuzzy_names", None, "places")
