@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -28,6 +29,56 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(_each(lambda x, y: SequenceMatcher(None, x, y).ratio(), a, b))
 
 
+def alike_pairs(least: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For blocks (asked, known) of names the pairs whose ratio reaches ``least``.
+
+    Matching blocks are a common subsequence, so a pair is scored only if its longest one is long enough, and that is
+    sought only if the letters alone allow it. Names over 64 letters skip that step.
+    """
+
+    def bound(total: np.ndarray) -> np.ndarray:
+        return least * total / 2 - 1e-6
+
+    def block(asked: list[str], known: list[str]) -> Iterator[tuple[str, str, float]]:
+        code = {c: n for n, c in enumerate(sorted(set("".join(known))))}
+        none = len(code)  # letters that no known name has, and the places after an end
+        lengths = np.array([len(x) for x in asked])
+        order = np.argsort(lengths, kind="stable")
+        asked, lengths = [asked[n] for n in order], lengths[order]
+        letters = np.full((len(asked), lengths.max()), none)
+        for n, x in enumerate(asked):
+            letters[n, : len(x)] = [code.get(c, none) for c in x]
+        counts = np.stack([(letters == c).sum(axis=1) for c in range(none)], axis=1).astype(np.int16)
+        matcher = SequenceMatcher(None)
+        for name in known:
+            own = np.bincount([code[c] for c in name], minlength=none).astype(np.int16)
+            needed = bound(lengths + len(name))
+            fit = np.flatnonzero((lengths >= needed) & (len(name) >= needed))
+            fit = fit[np.minimum(counts[fit], own).sum(axis=1) >= needed[fit]]
+            if len(fit) and len(name) <= 64:
+                masks = np.zeros(none + 1, np.uint64)
+                for n, c in enumerate(name):
+                    masks[code[c]] |= np.uint64(1 << n)
+                open_ = np.full(len(fit), 2 ** len(name) - 1, np.uint64)
+                full = np.uint64(2 ** len(name) - 1)
+                for m in masks[letters[fit, : lengths[fit].max()]].T:
+                    open_ = ((open_ + (open_ & m)) | (open_ & ~m)) & full
+                fit = fit[len(name) - np.bitwise_count(open_).astype(int) >= needed[fit]]
+            if len(fit):
+                matcher.set_seq2(name)
+                for n in fit:
+                    matcher.set_seq1(asked[n])
+                    if (score := matcher.ratio()) >= least:
+                        yield asked[n], name, score
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for asked, known in zip(batch["asked"], batch["known"], strict=True):
+                yield pd.DataFrame(list(block(list(asked), list(known))), columns=["_a", "_b", "ratio"]).astype({"ratio": float})
+
+    return pairs
+
+
 @F.pandas_udf(T.DoubleType())
 def substring_boost(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 if one text holds the other, else the longest common part over the shorter length, taken as 8 at least; 0 if one is empty."""

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldreel.functions.columns import normalise, normalised_distance, phonetic_key
-from fieldreel.functions.python import fold, ratio
+from fieldreel.functions.python import alike_pairs, fold
 from fieldreel.operators.ranking import top_k_per
 from fieldreel.session import steady
 
+# About as many distinct names are in a block when all meet all.
+BLOCK = 2_000
+
 
 def folded(name: Column) -> Column:
     """Name in lower case without accents and articles; other signs become single blanks."""
@@ -53,12 +56,19 @@ def resolve_aliases(df: DataFrame, id: str, name: str, registry: DataFrame, enti
 
 
 def fuzzy_matches(df: DataFrame, id: str, name: str, registry: DataFrame, entity: str, known: str, least: float = 0.72, k: int = 3) -> DataFrame:
-    """The k most alike registry names (id, entity, ratio, rank) of each name, of those that share a word or its first three letters and reach ``least``."""
-    keys = lambda c: F.array_distinct(F.flatten(F.transform(F.split(c, " "), lambda w: F.array(w, F.left(w, F.lit(3))))))
+    """The k most alike registry names (id, entity, ratio, rank) of each name, of those that reach ``least``.
+
+    All distinct names meet all distinct registry names in blocks; only pairs whose longest common subsequence can't
+    give ``least`` go unscored.
+    """
+    steady(df.sparkSession)
     a = df.select(F.col(id), folded(F.col(name)).alias("_a")).where("_a <> ''").distinct()
     b = registry.select(F.col(entity), folded(F.col(known)).alias("_b")).where("_b <> ''").distinct()
-    pairs = a.select("*", F.explode(keys(F.col("_a"))).alias("_k")).join(b.select("*", F.explode(keys(F.col("_b"))).alias("_k")), "_k").drop("_k").distinct()
-    scored = pairs.withColumn("ratio", ratio("_a", "_b")).where(F.col("ratio") >= least).groupBy(id, entity).agg(F.max("ratio").alias("ratio"))
+    blocks = [-(-max(1, rows.select(c).distinct().count()) // BLOCK) for rows, c in ((a, "_a"), (b, "_b"))]
+    asked, names = (rows.select(c).distinct().groupBy(F.pmod(F.xxhash64(c), F.lit(n)).alias(f"{c}_n")).agg(F.collect_list(c).alias(out)) for rows, c, n, out in ((a, "_a", blocks[0], "asked"), (b, "_b", blocks[1], "known")))
+    met = asked.crossJoin(names).repartition(min(10_000, blocks[0] * blocks[1]), "_a_n", "_b_n").select("asked", "known")
+    pairs = met.mapInPandas(alike_pairs(least), "_a string, _b string, ratio double")
+    scored = a.join(pairs, "_a").join(b, "_b").groupBy(id, entity).agg(F.max("ratio").alias("ratio"))
     return top_k_per(scored, [id], [F.desc("ratio"), F.col(entity)], k)
 
 

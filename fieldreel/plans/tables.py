@@ -729,7 +729,7 @@ def j28(p):
 
 @_query("j27_fuzzy_names", None, "places")
 def j27(p):
-    return entities.fuzzy_matches(p.select(F.col("id").alias("row"), "canonical_name").distinct(), "row", "canonical_name", p.select("id", "canonical_name").distinct(), "id", "canonical_name", 0.9, 3)
+    return entities.fuzzy_matches(p.select(F.col("id").alias("row"), "canonical_name").distinct(), "row", "canonical_name", p.select("id", "canonical_name").distinct(), "id", "canonical_name")
 
 
 @_query("j41_aliases", None, "places")

@@ -1,6 +1,7 @@
 """Matches beside brute force over all pairs: none may be passed over by the keys under which rows meet."""
 
 import random
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -39,3 +40,20 @@ def test_sounds_meet_all_within_the_distance(spark):
                 want[r.row] = best[::-1]
         got = {r.row: (r.id, r.distance) for r in entities.phonetic_matches(a, "row", "q", b, "id", "name", most).collect()}
         assert got == want and 0 in got and sum(d > 0 for _, d in got.values()) > 40
+
+
+def test_names_meet_all_from_the_least_ratio_on(spark):
+    rng = random.Random(6)
+    known = ["hjonson", "x" * 70 + "jonson", *("".join(rng.choice("abcdeo ") for _ in range(rng.randrange(2, 12))) for _ in range(120))]
+    asked = ["jonson", "x" * 68 + "jonson", *(n[:1] + rng.choice("abo") + n[2:] for n in known[2:90]), "aé b"]
+    a = spark.createDataFrame(list(enumerate(asked)), "row int, q string")
+    b = spark.createDataFrame([(f"e{i:03}", n) for i, n in enumerate(known)], "id string, name string")
+    folded = {**{("a", r.row): r.f for r in a.select("row", entities.folded(F.col("q")).alias("f")).collect()}, **{("b", r.id): r.f for r in b.select("id", entities.folded(F.col("name")).alias("f")).collect()}}
+    want = set()
+    for (side, row), x in folded.items():
+        if side == "a" and x:
+            scores = [(-SequenceMatcher(None, x, y).ratio(), e) for (s, e), y in folded.items() if s == "b" and y]
+            want |= {(row, e, round(-r, 9), n) for n, (r, e) in enumerate(sorted(s for s in scores if -s[0] >= 0.72)[:3], 1)}
+    got = {(r.row, r.id, round(r.ratio, 9), r["rank"]) for r in entities.fuzzy_matches(a, "row", "q", b, "id", "name").collect()}
+    assert got == want and (0, "e000", round(12 / 13, 9), 1) in got
+    assert entities.fuzzy_matches(a.limit(0), "row", "q", b, "id", "name").count() == 0
