@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldreel.functions.columns import cosine, dot, norm, usable_vector
 from fieldreel.operators.joins import nearest
-from fieldreel.operators.ranking import margin_gate
+from fieldreel.operators.ranking import margin_gate, top_k_per
+from fieldreel.session import steady
+
+# About as many queries and rows are in a block when all meet all.
+QUERY_BLOCK, ROW_BLOCK = 500, 10_000
 
 # Grades of a cut by the likeness of the frames on both sides.
 CLEAN, SOFT = 0.85, 0.55
@@ -26,6 +33,48 @@ def cosine_top_k(df: DataFrame, vector: str, query: list[float] | Column, k: int
     return rows.withColumn("cosine", cosine(F.col(vector), q)).where("cosine IS NOT NULL").orderBy(F.desc("cosine"), *ties).limit(k)
 
 
+def cosine_top_k_each(df: DataFrame, id: str, vector: str, queries: DataFrame, query_id: str, query: str, k: int, *, apart: tuple[str, str] | None = None) -> DataFrame:
+    """Rows (query_id, id, cosine, rank): the k rows most similar to each query, equal ones by id; unusable vectors never match.
+
+    Rows and queries meet in blocks, all with all, and each meeting keeps the best k of its queries. ``apart`` names a
+    column of the queries and one of the rows; rows that are equal in them don't meet, as a query and itself. Ids and
+    query ids are distinct, and all vectors of one length.
+    """
+    steady(df.sparkSession)
+    mine, other = apart or (None, None)
+    sides = []
+    for rows, i, v, extra, size in ((queries, query_id, query, mine, QUERY_BLOCK), (df, id, vector, other, ROW_BLOCK)):
+        own = F.col(extra).cast("string") if extra else F.lit(None).cast("string")
+        rows = rows.where(usable_vector(F.col(v)) & F.col(i).isNotNull()).select(F.col(i).alias("i"), F.transform(v, lambda x: x.cast("double")).alias("v"), own.alias("x"))
+        n = -(-max(1, rows.count()) // size)
+        sides.append((n, rows.groupBy(F.pmod(F.xxhash64("i"), F.lit(n)).alias("_n")).agg(F.collect_list(F.struct("i", "v", "x")).alias("r"))))
+    (na, a), (nb, b) = sides
+    a, b = (s.select(F.col("_n").alias(f"_{p}"), F.col("r.i").alias(f"{p}i"), F.flatten("r.v").alias(f"{p}v"), F.transform("r", lambda r: r["x"]).alias(f"{p}x")) for s, p in ((a, "q"), (b, "r")))
+    met = a.crossJoin(b).repartition(min(10_000, na * nb), "_q", "_r").drop("_q", "_r")
+    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(id, df.schema[id].dataType), T.StructField("cosine", T.DoubleType())])
+
+    def best(batches):
+        for batch in batches:
+            for qi, qv, qx, ri, rv, rx in zip(*(batch[c] for c in ("qi", "qv", "qx", "ri", "rv", "rx")), strict=True):
+                q, r = (np.asarray(v, float).reshape(len(i), -1) for v, i in ((qv, qi), (rv, ri)))
+                q, r = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (q, r))
+                names = np.asarray(ri)
+                likeness = q @ r.T
+                if apart:
+                    qx, rx = (np.array(["" if v is None else "=" + v for v in x], object) for x in (qx, rx))
+                    likeness[(qx[:, None] == rx[None, :]) & (qx != "")[:, None]] = -np.inf
+                out = []
+                for n, row in enumerate(likeness):
+                    # a product of matrices may give equal vectors unequal last digits, so near ones are summed again
+                    edge = np.partition(row, -k)[-k] - 1e-9 if len(row) > k else -np.inf
+                    near = np.flatnonzero((row >= edge) & (row > -np.inf))
+                    exact = (r[near] * q[n]).sum(axis=1)
+                    out += [(qi[n], names[near[m]], exact[m]) for m in np.lexsort((names[near], -exact))[:k]]
+                yield pd.DataFrame(out, columns=[query_id, id, "cosine"])
+
+    return top_k_per(met.mapInPandas(best, schema), [query_id], [F.desc("cosine"), F.col(id)], k)
+
+
 def group_means(df: DataFrame, group: str, vector: str) -> DataFrame:
     """Rows (group, vector, n): mean of each group's usable vectors, not normalised again. Values are summed by place before the shuffle."""
     rows = df.where(usable_vector(F.col(vector)) & F.col(group).isNotNull()).select(group, F.posexplode(vector).alias("i", "x"))

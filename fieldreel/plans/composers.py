@@ -16,8 +16,8 @@ from fieldreel.functions.columns import blended_rank, like, score, truthy
 from fieldreel.operators.joins import covered_seconds, interval_join
 from fieldreel.operators.ranking import diversify
 from fieldreel.operators.search import build_index, bm25, match
-from fieldreel.operators.similarity import cosine_top_k, group_means
-from fieldreel.session import steady
+from fieldreel.operators.similarity import cosine_top_k, cosine_top_k_each, group_means
+from fieldreel.session import cut_lineage, steady
 
 Tables = Mapping[str, DataFrame]
 #: Length of the stretches by which times of an asset meet.
@@ -248,6 +248,13 @@ def similar_transcript_windows(windows: DataFrame, query: list[float], k: int =
     return cosine_top_k(windows.join(F.broadcast(latest), "run_id", "left_semi"), "vector", query, k, [F.col("id")])  # one row
 
 
+def similar_transcript_windows_each(windows: DataFrame, queries: DataFrame, k: int = 25) -> DataFrame:
+    """Rows (q_id, id, asset_id, cosine, rank): windows of the latest run most similar to each query (q_id, q), itself included."""
+    latest = windows.agg(F.max("run_id").alias("run_id"))
+    rows = windows.join(F.broadcast(latest), "run_id", "left_semi")  # one row
+    return cosine_top_k_each(rows, "id", "vector", queries, "q_id", "q", k).join(rows.select("id", "asset_id"), "id")
+
+
 def visually_similar(frames: DataFrame, chunks: DataFrame, *, chunk_id: str | None = None, asset_id: str | None = None, vector: list[float] | None = None, k: int = 20, allowed: DataFrame | None = None) -> DataFrame:
     """Chunks most similar to a chunk, to the mean of an asset's chunks, or to a vector; the seed's own are left out; an unknown seed gives nothing."""
     means = group_means(frames, "chunk_id", "vector").join(chunks.select("chunk_id", F.col("parent_asset_id").alias("asset_id"), "chunk_start_sec", "chunk_end_sec").dropDuplicates(["chunk_id"]), "chunk_id")
@@ -261,6 +268,15 @@ def visually_similar(frames: DataFrame, chunks: DataFrame, *, chunk_id: str | No
     return cosine_top_k(means, "vector", vector, k, [F.col("chunk_id")], allowed, "asset_id")
 
 
+def visually_similar_each(frames: DataFrame, chunks: DataFrame, seeds: DataFrame, k: int = 20) -> DataFrame:
+    """Rows (q_id, chunk_id, asset_id, cosine, rank): chunks most similar to each seed (chunk_id), without the seed itself; an unknown seed gives nothing."""
+    owner = chunks.select("chunk_id", F.col("parent_asset_id").alias("asset_id")).dropDuplicates(["chunk_id"])
+    means = cut_lineage(group_means(frames, "chunk_id", "vector").join(owner, "chunk_id"))
+    queries = means.join(seeds, "chunk_id", "left_semi").select(F.col("chunk_id").alias("q_id"), F.col("vector").alias("q"))
+    found = cosine_top_k_each(means, "chunk_id", "vector", queries, "q_id", "q", k, apart=("q_id", "chunk_id"))
+    return found.join(means.select("chunk_id", "asset_id"), "chunk_id")
+
+
 # Words by which a moment is clean or spoiled.
 SPOILED = ("shak", "blur", "obscur", "setup", "adjust", "focus hunt", "black frame", "out of focus")
 CLEAN = ("steady", "clear", "smooth", "close-up", "reveal", "wide view", "in focus")

@@ -669,6 +669,16 @@ def v3(e):
     return similarity.cosine_top_k(e, "embedding", query, 20, [F.col("vec_id")], allowed, "vec_id").select("vec_id", F.round("cosine", 4).alias("cosine"))
 
 
+@_query(
+    "v3_cosine_top_k_each",
+    "WITH q AS (SELECT vec_id AS q_id, embedding AS v FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT q_id, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) AS cosine FROM embeddings, q WHERE vec_id <> q_id) SELECT q_id, vec_id, round(cosine, 4) AS cosine, row_number() OVER (PARTITION BY q_id ORDER BY cosine DESC, vec_id) AS rank FROM s QUALIFY rank <= 20",
+    "embeddings",
+)
+def v3b(e):
+    queries = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("v"))
+    return similarity.cosine_top_k_each(e, "vec_id", "embedding", queries, "q_id", "v", 20, apart=("q_id", "vec_id")).withColumn("cosine", F.round("cosine", 4))
+
+
 @_query(
     "v10_nearest_centroid",
     "WITH m AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) t(i) GROUP BY ALL) GROUP BY 1), s AS (SELECT vec_id, m.label, list_cosine_similarity(CAST(embedding AS DOUBLE[]), c) AS cosine FROM embeddings, m), r AS (SELECT *, lead(cosine) OVER w AS ru, row_number() OVER w AS n FROM s WINDOW w AS (PARTITION BY vec_id ORDER BY cosine DESC, label)) SELECT vec_id, label, cosine >= 0.55 AND cosine - ru >= 0.10 AS passed FROM r WHERE n = 1",
@@ -750,19 +760,19 @@ def q10(s):
 
 @_query("q11_similar_transcript_windows", None, "transcript_window_embedding")
 def q11(w):
-    from fieldreel.plans.composers import similar_transcript_windows
+    from fieldreel.plans.composers import similar_transcript_windows_each
 
     rows = _vectors(w, "id", "vector_blob", ["run_id", "asset_id"])
-    seed = rows.where(columns.usable_vector(F.col("vector"))).orderBy("id").first()
-    return similar_transcript_windows(rows, seed["vector"]).select("id", "asset_id", F.round("cosine", 4).alias("cosine"))
+    queries = rows.where("id % 50 = 0").select(F.col("id").alias("q_id"), F.col("vector").alias("q"))
+    return similar_transcript_windows_each(rows, queries).withColumn("cosine", F.round("cosine", 4))
 
 
 @_query("q12_visually_similar", None, "clip_embeddings", "semantic_chunks")
 def q12(k, c):
-    from fieldreel.plans.composers import visually_similar
+    from fieldreel.plans.composers import visually_similar_each
 
-    seed = c.where("chunk_id IS NOT NULL").agg(F.min("chunk_id").alias("c")).first()["c"]
-    return visually_similar(_vectors(k, "embedding_pk", "vector_blob", ["chunk_id"]), c, chunk_id=seed).select("chunk_id", "asset_id", F.round("cosine", 4).alias("cosine"))
+    seeds = c.where("chunk_id IS NOT NULL").select("chunk_id").distinct().where(F.pmod(F.xxhash64("chunk_id"), F.lit(50)) == 0)
+    return visually_similar_each(_vectors(k, "embedding_pk", "vector_blob", ["chunk_id"]), c, seeds).withColumn("cosine", F.round("cosine", 4))
 
 
 @_query("q14_chunk_means", None, "clip_embeddings")

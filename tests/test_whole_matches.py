@@ -3,10 +3,11 @@
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fieldreel.functions.columns import phonetic_key
-from fieldreel.operators import entities
+from fieldreel.operators import entities, similarity
 
 
 def edits(a, b):
@@ -57,3 +58,21 @@ def test_names_meet_all_from_the_least_ratio_on(spark):
     got = {(r.row, r.id, round(r.ratio, 9), r["rank"]) for r in entities.fuzzy_matches(a, "row", "q", b, "id", "name").collect()}
     assert got == want and (0, "e000", round(12 / 13, 9), 1) in got
     assert entities.fuzzy_matches(a.limit(0), "row", "q", b, "id", "name").count() == 0
+
+
+def test_each_query_meets_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(similarity, "ROW_BLOCK", 40)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(150, 8))
+    v[100:130] = v[5]
+    df = spark.createDataFrame([*((n, x.tolist()) for n, x in enumerate(v)), (900, [0.0] * 8), (901, None)], "id int, v array<double>")
+    queries = df.where("id % 5 = 0").select(F.col("id").alias("q"), F.col("v").alias("w"))
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = set()
+    for q in range(0, 150, 5):
+        best = sorted((-round(float((unit[q] * unit[n]).sum()), 9), n) for n in range(150) if n != q)[:12]
+        want |= {(q, n, rank) for rank, (_, n) in enumerate(best, 1)}
+    got = similarity.cosine_top_k_each(df, "id", "v", queries, "q", "w", 12, apart=("q", "id")).collect()
+    assert {(r.q, r.id, r["rank"]) for r in got} == want and len(got) == len(want)
+    assert similarity.cosine_top_k_each(df, "id", "v", queries.limit(0), "q", "w", 12).count() == 0
