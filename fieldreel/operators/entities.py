@@ -19,16 +19,21 @@ def folded(name: Column) -> Column:
     return F.trim(F.regexp_replace(normalise(fold(name)), r"(?:^| )(?:the|a|an)(?= |$)", ""))
 
 
-def dictionary_matches(df: DataFrame, id: str, text: str, phrases: DataFrame, phrase: str, target: str, longest: int = 6) -> DataFrame:
+def dictionary_matches(df: DataFrame, id: str, text: str, phrases: DataFrame, phrase: str, target: str) -> DataFrame:
     """Distinct rows (id, target, phrase): phrases that stand in the text as whole words, without case.
 
-    Runs of up to ``longest`` words meet the phrases by equality, so the dictionary may be of any size. A match inside a
+    Runs of words meet the phrases by equality, in the lengths that follow the run's first word in some phrase, so the
+    dictionary may be of any size and its phrases of any length. A match inside a
     longer match that begins with it, at the same word, is left out.
     """
-    words = F.filter(F.split(normalise(F.coalesce(F.col(text), F.lit(""))), " "), lambda w: w != "")
-    runs = df.select(F.col(id), words.alias("_w")).select(id, "_w", F.posexplode("_w").alias("_at", "_")).drop("_")
-    runs = runs.select(id, "_at", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - F.col("_at"))), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_w", F.col("_at") + 1, n), " ").alias("_run")))).alias("r"))
     known = phrases.select(normalise(F.col(phrase)).alias("_run"), F.col(target).alias("target")).where("_run <> ''").distinct()
+    sizes = known.select(F.split("_run", " ").alias("_p")).select(F.col("_p")[0].alias("_first"), F.size("_p").alias("n")).groupBy("_first").agg(F.collect_set("n").alias("_sizes"))
+    words = F.filter(F.split(normalise(F.coalesce(F.col(text), F.lit(""))), " "), lambda w: w != "")
+    longest = known.agg(F.coalesce(F.max(F.size(F.split("_run", " "))), F.lit(0)).alias("_longest"))
+    runs = df.select(F.col(id), words.alias("_w")).select(id, "_w", F.posexplode("_w").alias("_at", "_first")).crossJoin(F.broadcast(longest))  # one row
+    runs = runs.select(id, "_at", "_first", F.slice("_w", F.col("_at") + 1, F.col("_longest")).alias("_w")).join(sizes, "_first")
+    fit = F.filter("_sizes", lambda n: n <= F.size("_w"))
+    runs = runs.select(id, "_at", F.explode(F.transform(fit, lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_w", 1, n), " ").alias("_run")))).alias("r"))
     hits = runs.select(id, "_at", "r.n", "r._run").join(known, "_run")
     best = hits.groupBy(id, "_at").agg(F.max("n").alias("n"))
     return hits.join(best, [id, "_at", "n"]).select(id, "target", F.col("_run").alias("phrase")).distinct()

@@ -725,10 +725,10 @@ def u8(p):
     return graph.resolve_merges(p, "id", "parent_id")
 
 
-@_query("j30_dictionary", None, "documents")
-def j30(d):
-    words = d.sparkSession.createDataFrame([("storm build", "t1"), ("lens cap", "t2"), ("parking meadow", "t3"), ("the storm", "t4")], "phrase string, target string")
-    return entities.dictionary_matches(d.select("doc_id", "text").distinct(), "doc_id", "text", words, "phrase", "target")
+@_query("j30_dictionary", None, "documents", "places")
+def j30(d, p):
+    names = p.select("id", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("phrase"))
+    return entities.dictionary_matches(d.select("doc_id", "text").distinct(), "doc_id", "text", names, "phrase", "id")
 
 
 @_query("j28_sounds_alike", None, "places")

@@ -76,3 +76,12 @@ def test_each_query_meets_all_rows(spark, monkeypatch):
     got = similarity.cosine_top_k_each(df, "id", "v", queries, "q", "w", 12, apart=("q", "id")).collect()
     assert {(r.q, r.id, r["rank"]) for r in got} == want and len(got) == len(want)
     assert similarity.cosine_top_k_each(df, "id", "v", queries.limit(0), "q", "w", 12).count() == 0
+
+
+def test_phrases_of_any_length_are_found(spark):
+    long = "the old mill at the end of the north road by the lake"
+    phrases = spark.createDataFrame([(long, "l"), ("The old mill", "m"), ("mill", "s"), ("lake shore", "x")], "phrase string, target string")
+    texts = spark.createDataFrame([(1, f"We saw {long.title()}, again."), (2, "the old mill"), (3, "mill at the lake"), (4, None)], "d int, t string")
+    got = {(r.d, r.target) for r in entities.dictionary_matches(texts, "d", "t", phrases, "phrase", "target").collect()}
+    assert got == {(1, "l"), (1, "s"), (2, "m"), (2, "s"), (3, "s")}
+    assert {(r.d, r.target) for r in entities.contains_matches(texts, "d", "t", phrases, "phrase", "target").collect()} == {(1, "l"), (2, "m")}
