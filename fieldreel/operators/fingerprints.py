@@ -40,14 +40,20 @@ def path_score(label: tuple[Column, Column], day: tuple[Column, Column], camera:
 def propose_links(video: DataFrame, audio: DataFrame, *, least_path: float = 0.30, least_probe: float = 0.30, least_match: float = 0.55, k: int = 3) -> DataFrame:
     """Rows (video_id, audio_id, path_score, similarity, offset, combined, rank): the k best sounds of each video.
 
-    Both: id, label, day, camera, fp. Pairs meet by equal label or equal day, by which alone the least path score can be
-    reached. Prints shorter than the probe skip it. Similarity is the share of equal bits at the best offset.
+    Both: id, label, day, camera, fp. Pairs meet by equal label, by equal day, or by a label inside the other in the same
+    month or camera family, by which alone a path score of 0.30 can be reached; distinct labels are held against one
+    another once per family. Prints shorter than the probe skip it. Similarity is the share of equal bits at the best offset.
     """
     a, b = (df.select(*(F.col(c).alias(f"{p}_{c}") for c in ("id", "label", "day", "camera", "fp"))) for df, p in ((video, "v"), (audio, "a")))
     by_label = a.where("v_label <> ''").join(b, F.col("v_label") == F.col("a_label"))
     by_day = a.join(b, F.col("v_day") == F.col("a_day"))
     part = a.where("v_label <> ''").join(b.where("a_label <> ''"), F.left("v_day", F.lit(7)) == F.left("a_day", F.lit(7))).where(F.contains("v_label", F.col("a_label")) | F.contains(F.col("a_label"), F.col("v_label")))
-    pairs = by_label.unionByName(by_day).unionByName(part).dropDuplicates(["v_id", "a_id"])
+    # in one camera family without the month: distinct labels first, then their rows
+    family = lambda c: F.substring_index(c, "_", 1)
+    labels = [df.where(f"{p}_label <> ''").select(f"{p}_label", family(F.col(f"{p}_camera")).alias("_f")).where("_f IS NOT NULL").distinct() for df, p in ((a, "v"), (b, "a"))]
+    inside = labels[0].join(labels[1], "_f").where(F.contains("v_label", F.col("a_label")) | F.contains(F.col("a_label"), F.col("v_label")))
+    by_family = inside.join(a.withColumn("_f", family(F.col("v_camera"))), ["v_label", "_f"]).join(b.withColumn("_f", family(F.col("a_camera"))), ["a_label", "_f"]).drop("_f")
+    pairs = by_label.unionByName(by_day).unionByName(part).unionByName(by_family).dropDuplicates(["v_id", "a_id"])
     pairs = pairs.withColumn("path_score", path_score((F.col("v_label"), F.col("a_label")), (F.col("v_day"), F.col("a_day")), (F.col("v_camera"), F.col("a_camera")))).where(F.col("path_score") >= least_path)
     short = F.least(F.size("v_fp"), F.size("a_fp")) < PROBE
     pairs = pairs.where(short | (quick_probe(F.col("v_fp"), F.col("a_fp")) >= least_probe))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldreel.functions.columns import phonetic_key
 from fieldreel.operators import entities, similarity
+from fieldreel.operators.fingerprints import path_score, propose_links
 
 
 def edits(a, b):
@@ -85,3 +86,15 @@ def test_phrases_of_any_length_are_found(spark):
     got = {(r.d, r.target) for r in entities.dictionary_matches(texts, "d", "t", phrases, "phrase", "target").collect()}
     assert got == {(1, "l"), (1, "s"), (2, "m"), (2, "s"), (3, "s")}
     assert {(r.d, r.target) for r in entities.contains_matches(texts, "d", "t", phrases, "phrase", "target").collect()} == {(1, "l"), (2, "m")}
+
+
+def test_labels_inside_one_another_meet_without_the_month(spark):
+    rng = np.random.default_rng(8)
+    print_ = rng.integers(0, 2**32, 40).tolist()
+    rows = [(f"{n}", label, day, camera, print_) for n, (label, day, camera) in enumerate((x, d, c) for x in ("ridge", "north ridge", "lake", "", None) for d in ("2024-01-02", "2024-03-04", None) for c in ("a_1", "a_2", "b", None))]
+    schema = "id string, label string, day string, camera string, fp array<long>"
+    video, audio = spark.createDataFrame(rows, schema), spark.createDataFrame(rows, schema)
+    score = path_score((F.col("v.label"), F.col("a.label")), (F.col("v.day"), F.col("a.day")), (F.col("v.camera"), F.col("a.camera")))
+    want = {(r.v, r.a) for r in video.alias("v").crossJoin(audio.alias("a")).where(score >= 0.30).select(F.col("v.id").alias("v"), F.col("a.id").alias("a")).collect()}
+    got = {(r.video_id, r.audio_id) for r in propose_links(video, audio, k=100).collect()}
+    assert got == want and ("0", "17") in got
