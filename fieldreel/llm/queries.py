@@ -15,7 +15,7 @@ from fieldreel.llm.names import link_names, same_places
 from fieldreel.llm.splitting import split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
 from fieldreel.llm.turns import speaker_turns
-from fieldreel.llm.vectors import similar_pairs
+from fieldreel.llm.vectors import measured_recall, similar_pairs
 from fieldreel.session import read
 
 #: Folder of the public tokenizers' files.
@@ -29,6 +29,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+def p1_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of the five most similar of every row whose key is divisible by 50, against all rows of its table."""
+    found = [measured_recall(read(spark, sf_dir, table), key, blob, dim, F.col(key) % 50 == 0).select(F.lit(table).alias("store"), "*") for table, key, blob, dim in STORES]
+    return found[0].union(found[1]).union(found[2])
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = lambda c: F.nullif(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), F.lit("")).alias(c)
     both = [read(spark, sf_dir, t).select(clean("video_asset_id"), clean("audio_asset_id")) for t in ("link_proposal", "applied_link")]
@@ -85,7 +91,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p5_turns, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p5_found, p5_turns, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
 
 
 _P3 = """

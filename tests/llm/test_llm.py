@@ -17,7 +17,7 @@ from fieldreel.llm.queries import TOKENIZERS
 from fieldreel.llm.splitting import cut_points, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
 from fieldreel.llm.turns import speaker_turns
-from fieldreel.llm.vectors import calibrate, fit_tree, nearest, similar_pairs, unit_vectors
+from fieldreel.llm.vectors import calibrate, fit_tree, graft, measured_recall, nearest, similar_pairs, unit_vectors
 
 
 # --- vectors
@@ -56,12 +56,49 @@ def test_equal_vectors_and_empty(spark):
     assert similar_pairs(df.limit(0), "id", "blob", 4).count() == 0
 
 
-def test_more_visits_never_find_less():
+def test_wider_search_never_finds_less():
     x, _ = unit_vectors([v.tobytes() for v in clustered(800)], 16)
     tree = fit_tree(x, 20)
-    order = tree.visits(x[:50], tree.leaves)
+    order, fell = tree.visits(x[:50], tree.leaves)
     assert all(sorted(row) == list(range(tree.leaves)) for row in order.tolist())
-    assert calibrate(tree, x, 5, 0.8, 0.9) <= calibrate(tree, x, 5, 0.8, 0.99)
+    assert (np.diff(fell, axis=1) >= 0).all()
+    narrow, _ = tree.visits(x[:50], tree.leaves, 0.1)
+    assert all(set(n[n >= 0]) <= set(o) for n, o in zip(narrow, order, strict=True))
+    i, j, _ = nearest(x[:200], np.arange(200), x, np.arange(800), 5, 0.8)
+    assert calibrate(tree, x[i], x[j], 0.9)[0] <= calibrate(tree, x[i], x[j], 0.99)[0]
+
+
+def test_leaves_are_split_further_where_they_lie(spark):
+    x = clustered(4_000, seed=3)
+    df = spark.createDataFrame([(int(i), bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, blob binary").repartition(4)
+    got = {(r.key_lo, r.key_hi) for r in similar_pairs(df, "id", "blob", 16, fit_rows=300, leaf_rows=40, leaf_sample=12).collect()}
+    unit, _ = unit_vectors([v.tobytes() for v in x], 16)
+    want = exact_pairs(unit, np.arange(4_000), 5, 0.8)
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.02 * len(want)
+    top = fit_tree(unit[:300], 100)
+    grafted = graft(top, {0: fit_tree(unit[300:600], 50), top.leaves - 1: fit_tree(unit[600:900], 50)})
+    order, _ = grafted.visits(unit[:20], grafted.leaves)
+    assert grafted.leaves > top.leaves and all(sorted(row) == list(range(grafted.leaves)) for row in order.tolist())
+
+
+def test_copies_beyond_the_sixth_skip_the_search(spark):
+    x = clustered(300, seed=5)
+    rows = [(int(i), bytearray(v.tobytes())) for i, v in enumerate(x)]
+    rows += [(1_000 + i, rows[7][1]) for i in range(400)] + [(2_000 + i, bytearray(64)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, blob binary").repartition(3)
+    got = {(r.key_lo, r.key_hi) for r in similar_pairs(df, "id", "blob", 16).collect()}
+    unit, ok = unit_vectors([r[1] for r in rows], 16)
+    keys = np.array([r[0] for r in rows])[ok]
+    want = exact_pairs(unit, keys, 5, 0.8)
+    assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.02 * len(want)
+    assert {(7, k) for k in range(1_005, 1_400)} <= got
+
+
+def test_recall_is_measured_against_all_rows(spark):
+    df = spark.createDataFrame([(int(i), bytearray(v.tobytes())) for i, v in enumerate(clustered(600, seed=9))], "id long, blob binary")
+    row = measured_recall(df, "id", "blob", 16, F.col("id") % 50 == 0).first()
+    assert row.queries == 12 and row.neighbours > 0 and row.found >= 0.95 * row.neighbours
+    assert measured_recall(df.limit(0), "id", "blob", 16, F.col("id") % 50 == 0).first().recall is None
 
 
 # --- components
