@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from zoneinfo import available_timezones
+from datetime import UTC, datetime, timedelta
+from zoneinfo import ZoneInfo, available_timezones
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,9 +58,11 @@ def parse(value: Column) -> Column:
     return F.struct(F.coalesce(*found).alias("p"), epoch.alias("epoch"))
 
 
-def to_utc(df: DataFrame, value: str, clock_zone: str, out: str = "utc_us") -> DataFrame:
+def to_utc(df: DataFrame, value: str, clock_zone: str, out: str = "utc_us", offset: str | None = None) -> DataFrame:
     """``df`` with ``out``: the instant of the written ``value`` in microseconds since 1970-01-01 UTC, or null.
 
+    With ``offset``, also a column of that name: the minutes of an offset written in digits, else null.
+
     An explicit offset counts before a zone name beside it; a value with neither is wall time in the row's
     ``clock_zone``, or UTC where that is null or unknown. A wall time that occurs twice means the first; one that is
     skipped is read with the offset before the change. Null, empty and blank values, days that don't exist, hours over
@@ -84,13 +87,15 @@ def to_utc(df: DataFrame, value: str, clock_zone: str, out: str = "utc_us") -> D
     sign = F.when(F.left("_off", F.lit(1)) == "-", -1).otherwise(1)
     body = F.substring("_off", 2, 6)
     minutes = F.when(F.length(body) <= 2, body.cast("bigint") * 60).otherwise(F.left(body, F.length(body) - 2).cast("bigint") * 60 + F.right(body, F.lit(2)).cast("bigint"))
-    offset = F.when(F.col("_off") == "z", 0).when(F.col("_off") != "", sign * minutes)
-    df = df.withColumns({"_local": local, "_offset": F.coalesce(offset, F.when(F.col("_name") != "", short[F.lower("_name")])), "_zone": F.when(F.col("_name").isin(zones), F.col("_name"))})
+    written = F.when((F.col("_off") != "") & (F.col("_off") != "z"), sign * minutes)
+    df = df.withColumns({"_local": local, "_written": written.cast("int"), "_offset": F.coalesce(F.when(F.col("_off") == "z", 0).otherwise(written), F.when(F.col("_name") != "", short[F.lower("_name")])), "_zone": F.when(F.col("_name").isin(zones), F.col("_name"))})
     clock = F.when(F.col(clock_zone).isin(zones), F.col(clock_zone)).otherwise("UTC")
     zone = F.when(F.coalesce(F.col("_name"), F.lit("")) == "", clock).otherwise(F.col("_zone"))
     wall = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros("_local"), zone))
     utc = F.when(F.col("_epoch").isNotNull(), F.col("_epoch")).when(F.col("_offset").isNotNull(), F.when(F.abs("_offset") <= 18 * 60, F.col("_local") - F.col("_offset").cast("bigint") * F.lit(60_000_000))).when(F.col("_local").isNotNull() & zone.isNotNull(), wall)
-    return df.withColumn(out, utc.cast("bigint")).drop("_parsed", "_y", "_m", "_d", "_h", "_mi", "_s", "_frac", "_half", "_off", "_name", "_epoch", "_local", "_offset", "_zone")
+    if offset:
+        df = df.withColumn(offset, F.col("_written"))
+    return df.withColumn(out, utc.cast("bigint")).drop("_written", "_parsed", "_y", "_m", "_d", "_h", "_mi", "_s", "_frac", "_half", "_off", "_name", "_epoch", "_local", "_offset", "_zone")
 
 
 def estimate_zones(df: DataFrame, clock: str, local_us: str, reference_us: str, candidates: list[str]) -> DataFrame:
@@ -107,3 +112,36 @@ def estimate_zones(df: DataFrame, clock: str, local_us: str, reference_us: str,
     scored = tried.groupBy("clock", "zone").agg(F.sum(((late < 0) | (late > DAY_US)).cast("bigint")).alias("violations"), F.sum(F.abs(late).cast("double")).alias("far"), F.count("*").alias("rows"))
     best = F.min(F.struct("violations", "far", "zone", "rows")).alias("b")
     return scored.groupBy("clock").agg(best).select("clock", "b.zone", "b.violations", "b.rows")
+
+
+def distinct_histories(zones: list[str], first: datetime, last: datetime) -> list[str]:
+    """One zone, the first by name, for each history of offsets between two days, looked at week by week."""
+    weeks = [first + timedelta(weeks=k) for k in range((last - first).days // 7 + 2)]
+    found: dict[tuple, str] = {}
+    for zone in sorted(zones):
+        info = ZoneInfo(zone)
+        found.setdefault(tuple(w.astimezone(info).utcoffset() for w in weeks), zone)
+    return sorted(found.values())
+
+
+def estimate_histories(df: DataFrame, clock: str, utc_us: str, offset: str, candidates: list[str] | None = None) -> DataFrame:
+    """One row (clock, zone, violations, rows) for each clock: the zone whose history of offsets disagrees with the fewest moments that carry an offset of their own.
+
+    ``utc_us`` is the instant and ``offset`` its written offset in minutes. Candidates are by default all regional zones
+    and UTC, one for each history of offsets in the time that the moments span; among equals the first by name. Rows
+    with a null in any of the three are left out; an empty table gives no rows. Moments reduce to counts per clock, day
+    and offset before zones are tried, so a hot clock costs no more than others. Within a day of change the offset at
+    the day's end counts.
+    """
+    rows = df.select(F.col(clock).alias("clock"), F.floor(F.col(utc_us) / DAY_US).alias("day"), F.col(offset).cast("bigint").alias("offset")).dropna()
+    counts = rows.groupBy("clock", "day", "offset").agg(F.count("*").alias("n"))
+    span = rows.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+    epoch = datetime(1970, 1, 1, tzinfo=UTC)
+    most = (datetime(2200, 1, 1, tzinfo=UTC) - epoch).days
+    first, last = (epoch + timedelta(days=max(0, min(most, d or 0))) for d in (span["a"], span["b"]))
+    zones = candidates or distinct_histories([z for z in available_timezones() if "/" in z and not z.startswith(("Etc/", "posix/", "right/"))] + ["UTC"], first, last)
+    tried = counts.withColumn("zone", F.explode(F.array(*(F.lit(z) for z in zones))))
+    at = F.timestamp_micros((F.col("day") + 1) * F.lit(DAY_US))
+    own = (F.unix_micros(F.from_utc_timestamp(at, F.col("zone"))) - F.unix_micros(at)) / 60_000_000
+    scored = tried.groupBy("clock", "zone").agg(F.sum(F.when(own != F.col("offset"), F.col("n")).otherwise(0)).alias("violations"), F.sum("n").alias("rows"))
+    return scored.groupBy("clock").agg(F.min(F.struct("violations", "zone", "rows")).alias("b")).select("clock", "b.zone", "b.violations", "b.rows")

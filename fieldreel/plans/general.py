@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldreel.operators.intervals import periods_and_gaps, whole_ms
-from fieldreel.operators.timestamps import to_utc
+from fieldreel.operators.timestamps import estimate_histories, to_utc
 from fieldreel.session import read
 
 #: Table and column of the written dates.
@@ -16,20 +16,50 @@ DATES = (("asset", "primary_timeline_date"), ("asset", "shoot_date"), ("semantic
 WINDOWS = (("audio_event", "window_start_sec", "window_end_sec"), ("segment", "start_sec", "end_sec"))
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both columns of ``asset`` come from one scan; the clocks' table is joined as its size allows."""
-    clocks = read(spark, sf_dir, "camera_clock").select("camera_id", "clock_zone").distinct()
+def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rows (store, field, asset_id, camera_id, value); both columns of ``asset`` come from one scan."""
     parts = []
     for table in dict.fromkeys(t for t, _ in DATES):
         fields = [f for t, f in DATES if t == table]
         rows = read(spark, sf_dir, table).select("asset_id", "camera_id", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields))).alias("x"))
         parts.append(rows.select(F.lit(table).alias("store"), "x.field", "asset_id", "camera_id", "x.value"))
-    rows = parts[0].union(parts[1]).where("value IS NOT NULL").distinct()
+    return parts[0].union(parts[1]).where("value IS NOT NULL").distinct()
+
+
+def _instants(rows: DataFrame, clocks: DataFrame) -> DataFrame:
+    """Rows (store, field, asset_id, value, utc_us) of values that name a real day or moment; ``clocks`` (camera_id, clock_zone) is joined as its size allows."""
     known = rows.where("camera_id IS NOT NULL").join(clocks, "camera_id", "left").select("store", "field", "asset_id", "value", "clock_zone")
     rows = known.union(rows.where("camera_id IS NULL").select("store", "field", "asset_id", "value", F.lit(None).cast("string")))
     # exploding drops nulls; a filter would be pushed down and inline the whole parsing into itself
-    found = to_utc(rows, "value", "clock_zone").select("store", "field", "asset_id", F.explode(F.array_compact(F.array("utc_us"))).alias("utc_us"))
-    return found.distinct()
+    return to_utc(rows, "value", "clock_zone").select("store", "field", "asset_id", "value", F.explode(F.array_compact(F.array("utc_us"))).alias("utc_us"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clocks = read(spark, sf_dir, "camera_clock").select("camera_id", "clock_zone").distinct()
+    return _instants(_dates(spark, sf_dir), clocks).select("store", "field", "asset_id", "utc_us").distinct()
+
+
+def _estimated(rows: DataFrame) -> DataFrame:
+    moments = to_utc(rows.where("camera_id IS NOT NULL").withColumn("zone", F.lit(None).cast("string")), "value", "zone", offset="offset")
+    both = F.when(F.col("utc_us").isNotNull() & F.col("offset").isNotNull(), F.struct("utc_us", "offset"))
+    moments = moments.select("camera_id", F.explode(F.array_compact(F.array(both))).alias("m")).select("camera_id", "m.utc_us", "m.offset")
+    return estimate_histories(moments, "camera_id", "utc_us", "offset")
+
+
+def p2_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone of each camera's clock, estimated without ``camera_clock`` from the values that carry their own offset."""
+    return _estimated(_dates(spark, sf_dir)).select(F.col("clock").alias("camera_id"), "zone", "violations", "rows")
+
+
+def p2_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per store and field, how many of p2_found's values of listed cameras come out alike with estimated zones in place of ``camera_clock``."""
+    rows = _dates(spark, sf_dir)
+    clocks = read(spark, sf_dir, "camera_clock").select("camera_id", "clock_zone").distinct()
+    listed = rows.join(clocks.select("camera_id"), "camera_id", "left_semi")
+    guessed = _estimated(rows).select(F.col("clock").alias("camera_id"), F.col("zone").alias("clock_zone"))
+    true, other = (_instants(listed, c).distinct() for c in (clocks, guessed))
+    met = true.join(other.withColumnRenamed("utc_us", "guessed_us"), ["store", "field", "asset_id", "value"], "left")
+    return met.groupBy("store", "field").agg(F.count("*").alias("cases"), F.sum((F.coalesce(F.col("guessed_us") == F.col("utc_us"), F.lit(False))).cast("bigint")).alias("recovered"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +80,7 @@ UNION ALL SELECT store, asset_id, 'gap', m, s FROM reach WHERE s > m AND s - m <
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p6_found": p6_found}
+    return {"p2_found": p2_found, "p2_zones": p2_zones, "p2_recovered": p2_recovered, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,9 +1,11 @@
+import datetime as dt
+import zoneinfo
 from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from fieldreel.operators.timestamps import estimate_zones, to_utc
+from fieldreel.operators.timestamps import distinct_histories, estimate_histories, estimate_zones, to_utc
 
 DENVER = "America/Denver"
 CASES = [
@@ -46,3 +48,18 @@ def test_estimated_zone_is_the_true_one(spark):
     df = df.withColumn("l", local).withColumn("r", F.col("u") + 60_000_000)
     got = estimate_zones(df.union(df), "c", "l", "r", [DENVER, "UTC", "Europe/Berlin", "America/Phoenix", "America/New_York"]).collect()
     assert [(r.clock, r.zone, r.violations) for r in got] == [("cam", DENVER, 0)]
+
+
+def test_history_of_offsets_is_estimated_from_written_offsets(spark):
+    zone = zoneinfo.ZoneInfo(DENVER)
+    rows = []
+    for k in range(60):
+        at = dt.datetime(2023, 1, 3, 12, tzinfo=dt.UTC) + dt.timedelta(days=17 * k)
+        rows.append(("a", int(at.timestamp()) * 1_000_000, int(at.astimezone(zone).utcoffset().total_seconds()) // 60))
+    rows += [("a", rows[0][1], 330), ("a", rows[5][1], 60), ("b", rows[0][1], 0), (None, 5, 0), ("c", None, 0), ("d", 5, None)]
+    got = {r.clock: r for r in estimate_histories(spark.createDataFrame(rows, "c string, u long, o int"), "c", "u", "o").collect()}
+    assert set(got) == {"a", "b"} and (got["a"].violations, got["a"].rows) == (2, 62)
+    pick = zoneinfo.ZoneInfo(got["a"].zone)
+    assert all(dt.datetime.fromtimestamp(u / 1e6, dt.UTC).astimezone(pick).utcoffset() == dt.datetime.fromtimestamp(u / 1e6, dt.UTC).astimezone(zone).utcoffset() for c, u, o in rows[:60])
+    assert estimate_histories(spark.createDataFrame([], "c string, u long, o int"), "c", "u", "o").count() == 0
+    assert distinct_histories([DENVER, "America/Boise", "UTC"], dt.datetime(2023, 1, 1, tzinfo=dt.UTC), dt.datetime(2024, 1, 1, tzinfo=dt.UTC)) == ["America/Boise", "UTC"]
