@@ -12,7 +12,7 @@ from fieldreel.llm.bpe import encode_texts
 from fieldreel.llm.components import connected_components
 from fieldreel.llm.leakage import find_leaks
 from fieldreel.llm.names import link_names, same_places
-from fieldreel.llm.splitting import split_items
+from fieldreel.llm.splitting import bisect_items, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
 from fieldreel.llm.turns import speaker_turns
 from fieldreel.llm.vectors import measured_recall, similar_pairs
@@ -49,6 +49,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_items(read(spark, sf_dir, "semantic_chunks"), read(spark, sf_dir, "segment"), read(spark, sf_dir, "embedding_run"))
 
 
+def p4_bisected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisect_items(read(spark, sf_dir, "semantic_chunks"), read(spark, sf_dir, "segment"), read(spark, sf_dir, "embedding_run"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speaker_turns(read(spark, sf_dir, "segment")).select("asset_id", "speaker_no", "first_seg_idx", "last_seg_idx").distinct()
 
@@ -91,7 +95,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p5_found, p5_turns, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
 
 
 _P3 = """
@@ -122,6 +126,26 @@ cut AS (
 SELECT run_id, chunk_id, CAST(k AS INTEGER) AS piece_idx, a AS start_ms, b AS end_ms FROM cut
 """
 
+_P4_BISECTED = """
+WITH RECURSIVE runs AS (
+  SELECT DISTINCT run_id, CAST(round(window_sec * 1000) AS BIGINT) AS w, CAST(round(overlap_sec * 1000) AS BIGINT) AS o FROM embedding_run
+  WHERE window_sec IS NOT NULL AND overlap_sec IS NOT NULL AND NOT isnan(window_sec) AND NOT isnan(overlap_sec) AND overlap_sec >= 0 AND overlap_sec < window_sec
+), items AS (
+  SELECT DISTINCT run_id, chunk_id, parent_asset_id AS asset, CAST(round(chunk_start_sec * 1000) AS BIGINT) AS s, CAST(round(chunk_end_sec * 1000) AS BIGINT) AS e, w, o
+  FROM semantic_chunks, runs WHERE chunk_start_sec IS NOT NULL AND chunk_end_sec IS NOT NULL AND round(chunk_end_sec * 1000) - round(chunk_start_sec * 1000) > w
+), counted AS (
+  SELECT asset_id AS asset, CAST(round(end_sec * 1000) AS BIGINT) AS x, count(*) AS n FROM segment WHERE end_sec IS NOT NULL GROUP BY ALL
+), marks AS (SELECT asset, list({'x': x, 'n': n}) AS ends FROM counted GROUP BY asset),
+parts AS (
+  SELECT run_id, chunk_id, s, e, s AS a, e AS b, w, o, coalesce(m.ends, []) AS ends FROM items i LEFT JOIN marks m USING (asset)
+  UNION ALL
+  SELECT run_id, chunk_id, s, e, unnest([a, cut]), unnest([cut, b]), w, o, ends FROM (
+    SELECT *, coalesce(-list_max(list_transform(list_filter(ends, lambda m: m.x > a AND m.x < b AND m.x >= a + (b - a) // 4 AND m.x <= b - (b - a) // 4), lambda m: {'n': m.n, 'd': -abs(2 * m.x - a - b), 'x': -m.x})).x, a + (b - a) // 2) AS cut
+    FROM parts WHERE b - a > w - o)
+), leaves AS (SELECT DISTINCT run_id, chunk_id, s, e, a, b, o FROM parts WHERE b - a <= w - o)
+SELECT run_id, chunk_id, CAST(row_number() OVER (PARTITION BY run_id, chunk_id, s, e ORDER BY a) - 1 AS INTEGER) AS piece_idx, CASE WHEN a = s THEN a ELSE greatest(s, a - o) END AS start_ms, b AS end_ms FROM leaves
+"""
+
 _P5 = r"""
 WITH seg AS (SELECT DISTINCT asset_id, seg_idx, start_sec, speaker_id, speaker_p_id, coalesce(text, '') AS text FROM segment WHERE asset_id IS NOT NULL),
 timed AS (SELECT *, regexp_replace(text, '^\s*[\[(]?(\d{1,3}:\d{2}(:\d{2})?([.,;:]\d{1,3})?(\s*-->\s*\d{1,3}:\d{2}(:\d{2})?([.,;:]\d{1,3})?)?|\d{1,3}h\d{1,2}m\d{1,2}(\.\d+)?s)[\])]?', ' ', 'i') AS t FROM seg),
@@ -173,4 +197,4 @@ SELECT source, unit, length, texts, round(CAST(expected AS DOUBLE), 6) AS expect
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _P3, "p4_found": _P4, "p5_found": _P5, "p9_found": _P9, "p9_items": f"SELECT item_id, count(*) AS n_docs FROM ({_P9}) GROUP BY item_id", "p10_spikes": _P10_SPIKES}
+    return {"p3_found": _P3, "p4_found": _P4, "p4_bisected": _P4_BISECTED, "p5_found": _P5, "p9_found": _P9, "p9_items": f"SELECT item_id, count(*) AS n_docs FROM ({_P9}) GROUP BY item_id", "p10_spikes": _P10_SPIKES}

@@ -14,7 +14,7 @@ from fieldreel.llm.components import connected_components, union_find
 from fieldreel.llm.leakage import find_leaks, words
 from fieldreel.llm.names import link_names, parse_name, same_places
 from fieldreel.llm.queries import TOKENIZERS
-from fieldreel.llm.splitting import cut_points, split_items
+from fieldreel.llm.splitting import bisect_items, bisected, cut_points, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
 from fieldreel.llm.turns import speaker_turns
 from fieldreel.llm.vectors import calibrate, fit_tree, graft, measured_recall, nearest, similar_pairs, unit_vectors
@@ -156,6 +156,29 @@ def test_pieces_cover_and_overlap(start, length, window, data):
         assert b == (max(inside) if inside else a + window)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 60_000), st.integers(2, 4_000), st.data())
+def test_bisected_pieces_fit_cover_and_overlap(start, length, window, data):
+    overlap = data.draw(st.integers(0, window - 1))
+    length = min(length, 300 * (window - overlap))
+    ends = np.array(sorted(set(data.draw(st.lists(st.integers(start, start + length), max_size=40)))), dtype=np.int64)
+    pieces = bisected(start, start + length, window, overlap, ends, np.ones(len(ends), np.int64))
+    assert pieces[0][0] == start and pieces[-1][1] == start + length
+    assert all(b - a <= window for a, b in pieces)
+    assert all(q[0] == max(start, p[1] - overlap) and q[1] > p[1] for p, q in zip(pieces, pieces[1:]))
+
+
+def test_bisection_takes_the_strongest_boundary_of_the_middle_half(spark):
+    ends = np.array([10, 45, 52, 70])
+    assert bisected(0, 100, 60, 5, ends, np.array([9, 1, 1, 1])) == [(0, 52), (47, 100)]
+    assert bisected(0, 100, 60, 5, ends, np.array([9, 1, 1, 2]))[-1] == (65, 100)
+    chunks = spark.createDataFrame([("far", "a", 0.0, 9e10), ("c", None, 0.0, 100.0), ("c", "a", 0.0, 100.0)], "chunk_id string, parent_asset_id string, chunk_start_sec double, chunk_end_sec double")
+    runs = spark.createDataFrame([(1, 6e9, 1.0)], "run_id long, window_sec double, overlap_sec double")
+    marks = spark.createDataFrame([("a", 3e10), ("a", 4.4e10), (None, 1.0)], "asset_id string, end_sec double")
+    got = bisect_items(chunks, marks, runs).orderBy("piece_idx").collect()
+    assert {r.chunk_id for r in got} == {"far"} and got[-1].end_ms == 90_000_000_000_000 and 44_000_000_000_000 in {r.end_ms for r in got}
+
+
 def test_split_items_odd_rows(spark):
     chunks = spark.createDataFrame([("c1", "a", 0.0, 100.0), ("c1", "a", 0.0, 100.0), ("c2", None, 0.0, 70.0), ("c3", "a", 9.0, 1.0), ("c4", "a", None, 80.0), ("c5", "a", float("nan"), 80.0), ("c6", "a", 0.0, 30.0)], "chunk_id string, parent_asset_id string, chunk_start_sec double, chunk_end_sec double")
     ends = spark.createDataFrame([("a", 25.0), ("a", 25.0), ("a", 61.5), ("a", None), ("b", 29.0)], "asset_id string, end_sec double")
