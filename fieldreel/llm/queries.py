@@ -14,7 +14,7 @@ from fieldreel.llm.leakage import find_leaks
 from fieldreel.llm.names import link_names, same_places
 from fieldreel.llm.splitting import bisect_items, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
-from fieldreel.llm.turns import speaker_turns
+from fieldreel.llm.turns import hidden_label_accuracy, inferred_speakers, speaker_turns
 from fieldreel.llm.vectors import measured_recall, similar_pairs
 from fieldreel.session import read
 
@@ -61,6 +61,15 @@ def p5_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speaker_turns(read(spark, sf_dir, "segment"))
 
 
+def p5_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speakers of the segments that p5_found must leave at -1, by the hidden Markov model."""
+    return inferred_speakers(read(spark, sf_dir, "segment"))
+
+
+def p5_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_label_accuracy(read(spark, sf_dir, "segment"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_places(read(spark, sf_dir, "places"), "id", "canonical_name", "aliases")
 
@@ -95,7 +104,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
 
 
 _P3 = """

@@ -1,3 +1,4 @@
+import itertools
 import json
 import os
 import random
@@ -16,7 +17,7 @@ from fieldreel.llm.names import link_names, parse_name, same_places
 from fieldreel.llm.queries import TOKENIZERS
 from fieldreel.llm.splitting import bisect_items, bisected, cut_points, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
-from fieldreel.llm.turns import speaker_turns
+from fieldreel.llm.turns import hidden_label_accuracy, infer_speakers, inferred_speakers, most_likely, speaker_turns
 from fieldreel.llm.vectors import calibrate, fit_tree, graft, measured_recall, nearest, similar_pairs, unit_vectors
 
 
@@ -101,6 +102,54 @@ def test_recall_is_measured_against_all_rows(spark):
     assert measured_recall(df.limit(0), "id", "blob", 16, F.col("id") % 50 == 0).first().recall is None
 
 
+# --- hidden speakers
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 3), st.integers(1, 5), st.data())
+def test_most_likely_path_equals_brute_force(k, n, data):
+    fixed = data.draw(st.lists(st.integers(-1, k - 1), min_size=n, max_size=n))
+    scores = np.array(data.draw(st.lists(st.lists(st.floats(-3, 3), min_size=k, max_size=k), min_size=n, max_size=n)))
+    share = np.array(data.draw(st.lists(st.floats(0.1, 1), min_size=k, max_size=k)))
+    share /= share.sum()
+    before, after, stay = data.draw(st.integers(-1, k - 1)), data.draw(st.integers(-1, k - 1)), 0.7
+
+    def value(path):
+        total = 0.0
+        for a, b in zip([before, *path], [*path, after]):
+            if b >= 0:
+                total += np.log(share[b]) if a < 0 else np.log((stay if k > 1 else 1.0) if a == b else 0.3 * share[b] / (1 - share[a]))
+        return total + sum(scores[i, s] for i, s in enumerate(path) if fixed[i] < 0)
+
+    paths = [p for p in itertools.product(range(k), repeat=n) if all(f in (-1, s) for f, s in zip(fixed, p))]
+    got = most_likely(fixed, scores, stay, share, before, after)
+    assert tuple(got) in paths and value(got) >= max(map(value, paths)) - 1e-6
+
+
+def test_speakers_are_inferred_from_what_they_say(spark):
+    rng = random.Random(4)
+    own = {1: "river boat paddle rapid current".split(), 2: "judge court ruling appeal brief".split()}
+    rows = []
+    for asset in "ab":
+        for i in range(300):
+            no = rng.choice((1, 2))
+            label = None if i % 9 == 4 else no
+            rows.append((asset, i, 7.0 * i, " ".join(rng.choices(own[no], k=6)), label, no))
+    rows += [("c", 0, 1.0, "river", None, -1), ("c", 0, 1.0, "river", None, -1)]
+    df = spark.createDataFrame([r[:5] for r in rows], "asset_id string, seg_idx int, start double, said string, no int")
+    got = {(r.asset_id, r.seg_idx): r.speaker_no for r in infer_speakers(df).collect()}
+    want = {r[:2]: r[5] for r in rows if r[4] is None}
+    assert set(got) == set(want) and sum(got[k] == want[k] for k in want) >= 0.97 * len(want)
+    assert infer_speakers(df.limit(0)).count() == 0
+
+
+def test_inferred_speakers_odd_rows(spark):
+    rows = [("a", 0, 0.0, "S1", None, "we go"), ("a", 1, 1.0, None, None, "we went"), ("a", 2, None, None, None, "lost"), ("a", 3, 3.0, None, None, None), (None, 4, 4.0, "S2", None, "x"), ("b", 0, 0.0, None, None, "alone")]
+    df = spark.createDataFrame(rows, "asset_id string, seg_idx int, start_sec double, speaker_id string, speaker_p_id string, text string")
+    assert {(r.asset_id, r.seg_idx, r.speaker_no) for r in inferred_speakers(df).collect()} == {("a", 1, 1), ("b", 0, -1)}
+    assert hidden_label_accuracy(df.limit(0)).first().hidden == 0
+
+
 # --- components
 
 
