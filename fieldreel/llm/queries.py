@@ -54,7 +54,7 @@ def p4_bisected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speaker_turns(read(spark, sf_dir, "segment")).select("asset_id", "speaker_no", "first_seg_idx", "last_seg_idx").distinct()
+    return speaker_turns(read(spark, sf_dir, "segment"), texts=False).select("asset_id", "speaker_no", "first_seg_idx", "last_seg_idx").distinct()
 
 
 def p5_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

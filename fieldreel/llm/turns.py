@@ -53,11 +53,10 @@ def number_speakers(df: DataFrame) -> DataFrame:
     """Counting segments with speaker_no: the label's number, else the one that the person has on a labelled row of the asset, else -1.
 
     A person with several numbers in an asset has the smallest. Only rows without a number and with a person are joined.
-    Texts are cleaned once: what is read several times later is written to the shared folder.
+    Texts are cleaned once: what is read several times later is written to the shared folder, texts last.
     """
     start = F.when(~F.isnan("start_sec"), F.col("start_sec"))
-    rows = df.select("asset_id", "seg_idx", start.alias("start"), "speaker_id", "speaker_p_id", "text").where("asset_id IS NOT NULL").distinct()
-    rows = rows.select("asset_id", "seg_idx", "start", "speaker_p_id", label_number(F.col("speaker_id"), F.col("text")).alias("no"), speech(F.col("text")).alias("said"))
+    rows = df.where("asset_id IS NOT NULL").select("asset_id", "seg_idx", start.alias("start"), "speaker_p_id", label_number(F.col("speaker_id"), F.col("text")).alias("no"), speech(F.col("text")).alias("said"))
     rows = cut_lineage(rows.withColumn("counts", F.coalesce(F.col("start").isNotNull() & F.col("said").rlike(r"[\p{L}\p{N}]"), F.lit(False))))
     known = rows.where("no IS NOT NULL AND speaker_p_id IS NOT NULL").groupBy("asset_id", "speaker_p_id").agg(F.min("no").alias("by_person"))
     rows = rows.where("counts").drop("counts")
@@ -66,36 +65,38 @@ def number_speakers(df: DataFrame) -> DataFrame:
     return asked.union(rest)
 
 
-def speaker_turns(df: DataFrame) -> DataFrame:
+def speaker_turns(df: DataFrame, texts: bool = True) -> DataFrame:
     """Rows (asset_id, speaker_no, first_seg_idx, last_seg_idx, start_sec, text): longest runs of counting segments of one speaker, ordered by start_sec, then seg_idx.
 
     A segment counts if start_sec is present and text holds a letter or digit after cleaning (see ``speech``). Null and
     blank texts, null and NaN starts don't count; a null asset is left out; repeated rows count once; rows of equal
-    start are ordered by seg_idx. An empty table gives no rows. Other columns are ignored.
+    start are ordered by seg_idx. An empty table gives no rows. Other columns are ignored. Without ``texts`` the text is
+    left out and never gathered.
 
-    Changes of speaker are found within a stretch of the asset's time; the first segment of a stretch meets the last
-    of the stretch before by summary rows. A hot asset spreads over many tasks; a turn's text is gathered whole.
+    Runs are found within a stretch of the asset's time, in one ordering. Where the first run of a stretch has the
+    speaker of the last run before it, it goes on from the stretch in which that run began; stretches meet by one summary
+    row each. A hot asset spreads over many tasks.
     """
     steady(df.sparkSession)
     rows = number_speakers(df).withColumn("part", F.floor(F.col("start") * 1000 / STRETCH_MS)).withColumn("at", F.struct("start", "seg_idx"))
-    order = Window.partitionBy("asset_id", "part").orderBy("start", "seg_idx")
-    # null before the first row of a stretch, whose speaker before is known only from the stretch before
-    rows = rows.withColumn("before", F.lag("speaker_no").over(order))
-    earlier = Window.partitionBy("asset_id").orderBy("part")
-    ends = rows.groupBy("asset_id", "part").agg(F.max_by("speaker_no", "at").alias("last"))
-    ends = ends.select("asset_id", "part", F.lag("last").over(earlier).alias("carried"))
-    rows = rows.join(ends, ["asset_id", "part"]).withColumn("before", F.coalesce("before", "carried"))
-    opens = F.when(F.col("before").isNull() | (F.col("before") != F.col("speaker_no")), F.col("at"))
-    rows = rows.withColumn("turn", F.max(opens).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    piece = F.struct("at", "said")
-    local = rows.groupBy("asset_id", "part", "turn").agg(F.max("at").alias("end"), F.first("speaker_no").alias("speaker_no"), F.array_sort(F.collect_list(piece)).alias("pieces"))
-    opened = local.groupBy("asset_id", "part").agg(F.max("turn").alias("opened"), F.max(F.col("turn").isNull()).alias("goes_on"))
-    opened = opened.withColumn("from", F.max("opened").over(earlier.rowsBetween(Window.unboundedPreceding, -1))).where("goes_on").select("asset_id", "part", "from")
-    goes_on = local.where("turn IS NULL").join(opened, ["asset_id", "part"]).select("asset_id", F.col("from").alias("turn"), "end", "speaker_no", "pieces")
-    both = local.where("turn IS NOT NULL").select("asset_id", "turn", "end", "speaker_no", "pieces").union(goes_on)
-    turns = both.groupBy("asset_id", "turn").agg(F.first("speaker_no").alias("speaker_no"), F.max("end").alias("end"), F.array_sort(F.flatten(F.collect_list("pieces"))).alias("pieces"))
-    text = F.array_join(F.transform("pieces", lambda p: p["said"]), " ")
-    return turns.select("asset_id", "speaker_no", F.col("turn.seg_idx").alias("first_seg_idx"), F.col("end.seg_idx").alias("last_seg_idx"), F.col("turn.start").alias("start_sec"), text.alias("text"))
+    order = Window.partitionBy("asset_id", "part").orderBy("at")
+    before = F.lag("speaker_no").over(order)
+    rows = rows.select("asset_id", "part", "at", "speaker_no", *(["said"] if texts else []), F.when(before.isNull() | (before != F.col("speaker_no")), F.col("at")).alias("opens"))
+    rows = rows.withColumn("turn", F.max("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # the structs of a run sort by time; equal ones are one repeated row
+    gathered = [F.array_sort(F.collect_set(F.struct("at", "said"))).alias("pieces")] if texts else []
+    runs = cut_lineage(rows.groupBy("asset_id", "part", "turn").agg(F.max("at").alias("end"), F.first("speaker_no").alias("speaker_no"), *gathered))
+    stretches = runs.groupBy("asset_id", "part").agg(F.min_by("speaker_no", "turn").alias("first_no"), F.max_by("speaker_no", "turn").alias("last_no"), F.min("turn").alias("first"), F.max("turn").alias("last"))
+    by = Window.partitionBy("asset_id").orderBy("part")
+    stretches = stretches.withColumn("goes_on", F.coalesce(F.lag("last_no").over(by) == F.col("first_no"), F.lit(False)))
+    fresh = F.when((F.col("first") != F.col("last")) | ~F.col("goes_on"), F.col("last"))
+    stretches = stretches.withColumn("fresh", fresh).withColumn("from", F.last("fresh", True).over(by.rowsBetween(Window.unboundedPreceding, -1)))
+    onward = stretches.where("goes_on").select("asset_id", "part", F.col("first").alias("turn"), "from")
+    runs = runs.join(onward, ["asset_id", "part", "turn"], "left").withColumn("turn", F.coalesce("from", "turn"))
+    gathered = [F.array_sort(F.flatten(F.collect_list("pieces"))).alias("pieces")] if texts else []
+    turns = runs.groupBy("asset_id", "turn").agg(F.first("speaker_no").alias("speaker_no"), F.max("end").alias("end"), *gathered)
+    text = [F.array_join(F.transform("pieces", lambda p: p["said"]), " ").alias("text")] if texts else []
+    return turns.select("asset_id", "speaker_no", F.col("turn.seg_idx").alias("first_seg_idx"), F.col("end.seg_idx").alias("last_seg_idx"), F.col("turn.start").alias("start_sec"), *text)
 
 
 def most_likely(fixed: list[int], scores: np.ndarray, stay: float, share: np.ndarray, before: int, after: int) -> list[int]:
