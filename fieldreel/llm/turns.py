@@ -33,35 +33,51 @@ NAMED_LABEL = r"(?i)^\s*(?:>+\s*)?(?:speaker|spk|s)[\s_#-]*\d{1,4}\s*(?::|\s[-
 HESITATION = r"(?i)(?<![\p{L}\p{N}'’])(?:u+h+-?h+u+h+|m+-?h+m+|u+h*m+|u+h+|e+r+m*|a+h+m*|h+m+|m{2,}|e+h+m*|ä+h+m*|e+u+h+)(?![\p{L}\p{N}'’])"
 
 
+_LEAD = TEXT_LABELS[0].replace("(\\d", "(?:\\d") + r"\s*:?"
+_NESTED = "|".join(NOTES[:4])
+_NAMED = NAMED_LABEL.replace(r"^\s*", rf"^\s*(?:(?:{'|'.join(c.replace('(?i)', '') for c in CLOCKS)})\s*)*", 1)
+
+
+def spoken(text: Column) -> Column:
+    """The text without clock times and timecodes, notes in brackets, asterisks or music notes, labels, and hesitations.
+
+    Each pass over a text costs more than its pattern, so patterns that don't build on one another go together.
+    """
+    bare = F.regexp_replace(text, "|".join([_LEAD, *NOTES]), " ")
+    bare = F.when(bare.rlike(r"[(\[{<]"), F.regexp_replace(bare, _NESTED, " ")).otherwise(bare)
+    bare = F.regexp_replace(bare, "|".join([_NAMED, *CLOCKS]), " ")
+    return F.regexp_replace(bare, HESITATION, " ")
+
+
 def speech(text: Column) -> Column:
-    """The text without clock times and timecodes, notes in brackets, asterisks or music notes, labels, and hesitations; blanks single."""
-    lead = F.regexp_replace(text, TEXT_LABELS[0] + r"\s*:?", " ")
-    bare = reduce(lambda c, p: F.regexp_replace(c, p, " "), [*NOTES, *NOTES[:4], *CLOCKS], lead)
-    bare = F.regexp_replace(bare, NAMED_LABEL, " ")
-    bare = F.regexp_replace(bare, HESITATION, " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"^[\s>–—-]+", ""), r"\s+", " "))
+    """``spoken`` with single blanks and without marks of dialogue at the start."""
+    return F.trim(F.regexp_replace(F.regexp_replace(spoken(text), r"^[\s>–—-]+", ""), r"\s+", " "))
 
 
 def label_number(speaker: Column, text: Column) -> Column:
     """The number in a speaker label, else in the label before the text, else null."""
-    clean = reduce(lambda c, p: F.regexp_replace(c, p, " "), [r"^\s*[\[(]?" + CLOCKS[0] + r"[\])]?", r"(?i)^\s*[\[(]?\d{1,3}h\d{1,2}m\d{1,2}(?:\.\d+)?s[\])]?"], text)
-    tries = [F.regexp_extract(speaker, r"(\d{1,4})\s*$", 1), *(F.regexp_extract(clean, p, 1) for p in TEXT_LABELS)]
-    return F.coalesce(*(F.when(t != "", t.cast("int")) for t in tries))
+    own = F.regexp_extract(speaker, r"(\d{1,4})\s*$", 1)
+    clean = F.regexp_replace(text, rf"^\s*[\[(]?(?:{CLOCKS[0]}|{CLOCKS[1]})[\])]?", " ")
+    tries = [F.regexp_extract(clean, p, 1) for p in TEXT_LABELS]
+    return F.when(own != "", own.cast("int")).otherwise(F.coalesce(*(F.when(t != "", t.cast("int")) for t in tries)))
 
 
-def number_speakers(df: DataFrame) -> DataFrame:
+def number_speakers(df: DataFrame, texts: bool = True) -> DataFrame:
     """Counting segments with speaker_no: the label's number, else the one that the person has on a labelled row of the asset, else -1.
 
     A person with several numbers in an asset has the smallest. Only rows without a number and with a person are joined.
-    Texts are cleaned once: what is read several times later is written to the shared folder, texts last.
+    Texts are cleaned once: what is read several times later is written to the shared folder, without ``texts`` only
+    whether they count.
     """
     start = F.when(~F.isnan("start_sec"), F.col("start_sec"))
-    rows = df.where("asset_id IS NOT NULL").select("asset_id", "seg_idx", start.alias("start"), "speaker_p_id", label_number(F.col("speaker_id"), F.col("text")).alias("no"), speech(F.col("text")).alias("said"))
-    rows = cut_lineage(rows.withColumn("counts", F.coalesce(F.col("start").isNotNull() & F.col("said").rlike(r"[\p{L}\p{N}]"), F.lit(False))))
+    rows = df.where("asset_id IS NOT NULL").select("asset_id", "seg_idx", start.alias("start"), "speaker_p_id", label_number(F.col("speaker_id"), F.col("text")).alias("no"), (speech if texts else spoken)(F.col("text")).alias("said"))
+    rows = rows.withColumn("counts", F.coalesce(F.col("start").isNotNull() & F.col("said").rlike(r"[\p{L}\p{N}]"), F.lit(False)))
+    rows = cut_lineage(rows if texts else rows.drop("said"))
+    said = ["said"] if texts else []
     known = rows.where("no IS NOT NULL AND speaker_p_id IS NOT NULL").groupBy("asset_id", "speaker_p_id").agg(F.min("no").alias("by_person"))
     rows = rows.where("counts").drop("counts")
-    asked = rows.where("no IS NULL AND speaker_p_id IS NOT NULL").join(known, ["asset_id", "speaker_p_id"], "left").select("asset_id", "seg_idx", "start", "said", F.coalesce("by_person", F.lit(-1)).alias("speaker_no"))
-    rest = rows.where("no IS NOT NULL OR speaker_p_id IS NULL").select("asset_id", "seg_idx", "start", "said", F.coalesce("no", F.lit(-1)).alias("speaker_no"))
+    asked = rows.where("no IS NULL AND speaker_p_id IS NOT NULL").join(known, ["asset_id", "speaker_p_id"], "left").select("asset_id", "seg_idx", "start", *said, F.coalesce("by_person", F.lit(-1)).alias("speaker_no"))
+    rest = rows.where("no IS NOT NULL OR speaker_p_id IS NULL").select("asset_id", "seg_idx", "start", *said, F.coalesce("no", F.lit(-1)).alias("speaker_no"))
     return asked.union(rest)
 
 
@@ -78,7 +94,7 @@ def speaker_turns(df: DataFrame, texts: bool = True) -> DataFrame:
     row each. A hot asset spreads over many tasks.
     """
     steady(df.sparkSession)
-    rows = number_speakers(df).withColumn("part", F.floor(F.col("start") * 1000 / STRETCH_MS)).withColumn("at", F.struct("start", "seg_idx"))
+    rows = number_speakers(df, texts).withColumn("part", F.floor(F.col("start") * 1000 / STRETCH_MS)).withColumn("at", F.struct("start", "seg_idx"))
     order = Window.partitionBy("asset_id", "part").orderBy("at")
     before = F.lag("speaker_no").over(order)
     rows = rows.select("asset_id", "part", "at", "speaker_no", *(["said"] if texts else []), F.when(before.isNull() | (before != F.col("speaker_no")), F.col("at")).alias("opens"))
