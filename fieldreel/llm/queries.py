@@ -13,7 +13,7 @@ from fieldreel.llm.components import connected_components
 from fieldreel.llm.leakage import find_leaks
 from fieldreel.llm.names import link_names, same_places
 from fieldreel.llm.splitting import bisect_items, split_items
-from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
+from fieldreel.llm.truncation import find_truncated, find_truncated_at_spikes, spikes, truncation_rates
 from fieldreel.llm.turns import hidden_label_accuracy, inferred_speakers, speaker_turns
 from fieldreel.llm.vectors import measured_recall, similar_pairs
 from fieldreel.session import read
@@ -95,6 +95,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_truncated(read(spark, sf_dir, "documents")).select("doc_id").distinct()
 
 
+def p10_at_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of p10_found that lengths alone give, by the method of problem 10."""
+    return find_truncated_at_spikes(read(spark, sf_dir, "documents")).select("doc_id", "reason").distinct()
+
+
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation_rates(read(spark, sf_dir, "documents"))
 
@@ -104,7 +109,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_at_spikes, p10_rates, p10_spikes)}
 
 
 _P3 = """

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -20,8 +22,15 @@ LEAST_AT_SPIKE, TIMES = 6, 5.0
 USUAL = 0.6
 #: An ending after which the kind's texts go on with another word at least so often is the inside of a sentence.
 GOES_ON = 0.9
-#: Bits of the filter of endings that is broadcast: 2 MB, whatever the number of endings.
-FILTER_BITS = 1 << 24
+#: Bits of the filter of endings that is broadcast: 16 for each, within these bounds (128 kB and 32 MB). A fuller filter
+#: lets more through, and without any use all; counts stay exact.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+#: A word or mark is the torn beginning of a longer one that is so many times as frequent.
+TORN_TIMES, LEAST_LONGER = 50, 3
+#: Letters up to which the beginnings of words are listed; longer ones are compared one by one.
+LISTED_LETTERS = 64
+#: Distinct words that a task counts before it hands them on.
+COUNTED_WORDS = 200_000
 
 # Padding characters, closing characters, sign-offs and marks of transfer.
 PADDING = " \t\r\n  -=_*~"
@@ -30,16 +39,15 @@ NUMBER_LINE = r"(?:^|\n)[ \t]*\d{1,3}[.)]$"
 SIGN_OFF = r"(?<!\s)(?:\s*(?:\n\s*[—–]\s?[^\n]{1,40}|\([A-Z]{1,4}/[A-Z]{1,4}\)|#[\p{L}\p{N}_]+|https?://\S+|[\x{1F000}-\x{1FAFF}\x{FE0F}\x{200D}\x{2600}-\x{27BF}]+))+\s*$"
 MARK_SAID = r"\s*(?:\.{2,}|…)?\s*(?:\((?:more|mehr|suite|más|continued)\)|\[(?:\+|…|\.\.\.|more)\])\s*$"
 MARK_DOTS = r"\s*(?:\.{3,}|…)\s*$"
-#: Characters at the end in which signatures and marks are looked for; all come from after the last sentence.
+#: Characters at the end in which signatures and marks are looked for first; where they fill them, the whole text is.
 TAIL = 400
 
 _TOKEN = re.compile(r"\n|[^\W_]+|[^\w\s]|_")
 _codes: dict[str, int] = {}
 
 
-def _tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
+def _coded(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, mark and line end, and which are words."""
-    found = [t.lower() for t in _TOKEN.findall(text)]
     missing = list({t for t in found if t not in _codes})
     if missing:
         if len(_codes) > 500_000:
@@ -61,6 +69,7 @@ def _grams(codes: np.ndarray, n: int, kind: int) -> np.ndarray:
     return h
 
 
+@cache
 def _kind_code(kind: str | None) -> int:
     return int(pd.util.hash_array(np.array([kind or ""], dtype=object), categorize=False)[0])
 
@@ -86,7 +95,7 @@ def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for kind, tail in zip(batch["kind"], batch["tail"], strict=True):
-            codes, is_word = _tokens(tail)
+            codes, is_word = _coded([t.lower() for t in _TOKEN.findall(tail)])
             code = _kind_code(kind)
             last = [int(g[-1:].view(np.int64)[0]) if len(g := _grams(codes, n, code)) else None for n in (4, 2)]
             found = _TOKEN.findall(tail[-80:])
@@ -94,33 +103,115 @@ def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[["kind", "tail"]].assign(**{c: pd.Series([r[k] for r in out], dtype=t, index=batch.index) for k, (c, t) in enumerate((("h4", "Int64"), ("h2", "Int64"), ("word", object), ("in_word", bool)))})
 
 
-def _continuations(docs: DataFrame, endings: DataFrame) -> DataFrame:
-    """Rows (h, goes, stops): how often an ending stands inside a text of the kind before a word, and before anything else."""
-    position = F.expr(f"h & {FILTER_BITS - 1}")
-    words = endings.select(F.explode(F.array("h4", "h2")).alias("h")).dropna().select(position.alias("p")).distinct()
+def _filter_bits(endings: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (16 * endings).bit_length()))
+
+
+def _corpus_counts(docs: DataFrame, endings: DataFrame) -> DataFrame:
+    """Rows (h, word, goes, stops) of one pass over the texts: how often an ending (h) stands inside a text of the kind before a word, and before anything else; and how often a word stands before the end of a text (goes)."""
+    size = _filter_bits(endings.count())
+    words = endings.select(F.explode(F.array("h4", "h2")).alias("h")).dropna().select(F.expr(f"h & {size - 1}").alias("p")).distinct()
     words = words.groupBy(F.expr("p >> 6").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("bits")).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits = np.zeros(size // 64, np.uint64)
     bits[words["at"].to_numpy(int)] = words["bits"].to_numpy(np.int64).view(np.uint64)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
+    columns = {"h": "Int64", "word": object, "goes": "Int64", "stops": "Int64"}
+
+    def counted(words: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"h": None, "word": list(words), "goes": list(words.values()), "stops": 0}).astype(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = sent.value
+        mask = np.uint64(len(bits) * 64 - 1)
+        seen: Counter = Counter()
         for batch in batches:
             hashes, goes = [np.empty(0, np.uint64)], [np.empty(0, bool)]
             for kind, text in zip(batch["kind"], batch["text"], strict=True):
-                codes, is_word = _tokens(text)
+                found = [t.lower() for t in _TOKEN.findall(text)]
+                if not found:
+                    continue
+                codes, is_word = _coded(found)
+                seen.update(found if not text[-1].isalnum() else found[:-1])
                 code = _kind_code(kind)
                 for n in (4, 2):
                     g = _grams(codes, n, code)[:-1]  # the last has nothing after it
-                    at = g & np.uint64(FILTER_BITS - 1)
+                    at = g & mask
                     keep = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
                     hashes.append(g[keep])
                     goes.append(is_word[n:][keep])
             h, which = np.unique(np.concatenate(hashes), return_inverse=True)
             word = np.bincount(which, weights=np.concatenate(goes), minlength=len(h)).astype(np.int64)
-            yield pd.DataFrame({"h": h.view(np.int64), "goes": word, "stops": np.bincount(which, minlength=len(h)) - word})
+            yield pd.DataFrame({"h": h.view(np.int64), "word": None, "goes": word, "stops": np.bincount(which, minlength=len(h)) - word}).astype(columns)
+            if len(seen) >= COUNTED_WORDS:
+                yield counted(seen)
+                seen.clear()
+        yield counted(seen)
 
-    return docs.mapInPandas(run, "h bigint, goes bigint, stops bigint").groupBy("h").agg(F.sum("goes").alias("goes"), F.sum("stops").alias("stops"))
+    counts = docs.select("kind", "text").mapInPandas(run, "h bigint, word string, goes bigint, stops bigint")
+    return counts.groupBy("h", "word").agg(F.sum("goes").alias("goes"), F.sum("stops").alias("stops"))
+
+
+def _frequencies(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows (word, itself, longer): of each asked word, how often it is known, and how often the most frequent longer word is that begins with it. ``known``: (v, n).
+
+    Beginnings of fewer than ``LISTED_LETTERS`` letters meet by equality; longer asked words meet the longer words of
+    the same first letters and are compared.
+    """
+    few = F.least(F.length("v"), F.lit(LISTED_LETTERS - 1))
+    begun = known.select(F.explode(F.transform(F.sequence(F.lit(1), few), lambda k: F.struct(F.left("v", k).alias("word"), (k == F.length("v")).alias("itself")))).alias("x"), "n")
+    short = begun.select("x.word", "x.itself", "n").join(asked.where(F.length("word") < LISTED_LETTERS), "word", "left_semi")
+    head = lambda c: F.left(c, F.lit(LISTED_LETTERS)).alias("head")
+    long = asked.where(F.length("word") >= LISTED_LETTERS).select("word", head("word")).join(known.where(F.length("v") >= LISTED_LETTERS).select("v", "n", head("v")), "head").where(F.startswith("v", "word"))
+    both = short.union(long.select("word", F.col("v") == F.col("word"), "n"))
+    most = lambda c: F.coalesce(F.max(F.when(c, F.col("n"))), F.lit(0))
+    return both.groupBy("word").agg(most(F.col("itself")).alias("itself"), most(~F.col("itself")).alias("longer"))
+
+
+def _torn(itself: Column, longer: Column) -> Column:
+    return (F.coalesce(longer, F.lit(0)) >= LEAST_LONGER) & (F.coalesce(itself, F.lit(0)) * TORN_TIMES < F.coalesce(longer, F.lit(0)))
+
+
+def _ends(df: DataFrame, doc_id: str, text: str, source: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """The documents with a text, and of each its end without padding (end), without sign-offs (bare), whether something was signed, its mark, whether it is whole, and whether its length is at a spike."""
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"), F.coalesce(F.col(kind), F.lit("")).alias("kind")).where(F.length(text) > 0)
+    found = spikes(docs, "source", "text").groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "chars", F.col("length"))).alias("in_chars"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("length"))).alias("in_bytes"))
+    found = found.select(F.col("source").alias("s_source"), "in_chars", "in_bytes")
+    # texts are left behind: only their ends go on
+    body = F.rtrim("text", F.lit(PADDING))
+    end = F.right(body, F.lit(TAIL))
+    bare = F.regexp_replace(end, SIGN_OFF, "")
+    # what is signed may reach back before the end that was looked at
+    more = (F.length(body) > TAIL) & (F.length(bare) < F.length(end)) & ((F.length(bare) < TAIL // 4) | ~bare.rlike(r"\s"))
+    ends = docs.select("doc_id", "source", "kind", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.when(more, body).otherwise(end).alias("end")).where("end <> ''").distinct()
+    ends = ends.withColumn("bare", F.regexp_replace("end", SIGN_OFF, ""))
+    said, dots = F.col("bare").rlike(MARK_SAID), F.col("bare").rlike(MARK_DOTS)
+    ends = ends.withColumn("signed", F.length("bare") < F.length("end"))
+    ends = ends.withColumn("mark", F.when(F.col("signed"), F.lit("none")).when(said, F.lit("said")).when(dots, F.lit("dots")).otherwise(F.lit("none")))
+    ends = ends.withColumn("whole", (F.col("mark") == "none") & F.col("bare").rlike(TERMINAL) & ~F.col("bare").rlike(NUMBER_LINE) & ~F.col("signed"))
+    ends = ends.join(found, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
+    near: Column = F.coalesce(F.exists("in_chars", lambda x: (x >= F.col("chars")) & (x <= F.col("chars") + 1)) | F.exists("in_bytes", lambda x: (x >= F.col("bytes")) & (x <= F.col("bytes") + 3)), F.lit(False))
+    return docs, cut_lineage(ends.withColumn("at_spike", near).drop("in_chars", "in_bytes", "chars", "bytes"))
+
+
+def _at_spikes(ends: DataFrame) -> DataFrame:
+    """Rows (doc_id, source, at_spike, reason): texts at a spike of their source that neither end a sentence nor are signed, or whose sign-off itself is torn."""
+    plain = ends.where("at_spike AND NOT whole AND NOT signed AND mark <> 'dots'").select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").otherwise("limit").alias("reason"))
+    last = F.regexp_replace(F.regexp_extract("end", r"(\S+)$", 1), r"\d", "9")
+    signed = ends.where("signed").withColumn("word", last)
+    asked = signed.where("at_spike").select("word").distinct()
+    known = signed.groupBy(F.col("word").alias("v")).agg(F.count("*").alias("n"))
+    torn = _frequencies(asked, known).where(_torn(F.col("itself"), F.col("longer"))).select("word")
+    return plain.union(signed.where("at_spike").join(torn, "word", "left_semi").select("doc_id", "source", "at_spike", F.lit("limit").alias("reason")))
+
+
+def find_truncated_at_spikes(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", kind: str = "doc_kind") -> DataFrame:
+    """One row (doc_id, source, at_spike, reason) for each document whose length in characters or bytes is, or is up to three below, a spike of its source, and whose text neither ends a sentence nor is signed off; ``reason`` is limit, or mark where it says that there is more.
+
+    A sign-off is torn, and the text cut, if its last word is the beginning of one that is far more frequent among the
+    last words of signed texts. Texts that end in dots are left to ``find_truncated``, as writers end in dots too.
+    Odd rows as in ``find_truncated``.
+    """
+    return _at_spikes(_ends(df, doc_id, text, source, kind)[1]).distinct()
 
 
 def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", kind: str = "doc_kind") -> DataFrame:
@@ -132,7 +223,7 @@ def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     - ``mark``: it ends with a mark for the missing rest, as (more) or [...];
     - ``dots``: it ends with dots, and not where the kind's texts pause of themselves;
-    - ``limit``: its length in characters or bytes is, or is up to three below, a spike of its source;
+    - ``limit``: its length is at a spike of its source (``find_truncated_at_spikes``);
     - ``open``: texts of its kind usually end a sentence or sign off;
     - ``word``, ``sentence``: it ends inside a word, a longer form of which the corpus knows, or inside a sentence,
       after tokens that are nearly always followed by a word in texts of the kind.
@@ -141,48 +232,27 @@ def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     A null source or kind is a source or kind of its own. Repeated rows count once; equal texts are judged alike if
     source and kind are. An empty table gives no rows. Other columns are ignored.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"), F.coalesce(F.col(kind), F.lit("")).alias("kind")).where(F.length(text) > 0)
-    found = spikes(docs, "source", "text").groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "chars", F.col("length"))).alias("in_chars"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("length"))).alias("in_bytes"))
-    found = found.select(F.col("source").alias("s_source"), "in_chars", "in_bytes")
-    # texts are left behind: only their ends go on
-    body = F.rtrim("text", F.lit(PADDING))
-    ends = docs.select("doc_id", "source", "kind", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.right(body, F.lit(TAIL)).alias("end")).where("end <> ''").distinct()
-    ends = ends.withColumn("bare", F.regexp_replace("end", SIGN_OFF, ""))
-    said, dots = F.col("bare").rlike(MARK_SAID), F.col("bare").rlike(MARK_DOTS)
-    ends = ends.withColumn("signed", F.length("bare") < F.length("end"))
-    ends = ends.withColumn("mark", F.when(F.col("signed"), F.lit("none")).when(said, F.lit("said")).when(dots, F.lit("dots")).otherwise(F.lit("none")))
-    ends = ends.withColumn("whole", (F.col("mark") == "none") & F.col("bare").rlike(TERMINAL) & ~F.col("bare").rlike(NUMBER_LINE) & ~F.col("signed"))
-    ends = ends.join(found, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
-    near: Column = F.coalesce(F.exists("in_chars", lambda x: (x >= F.col("chars")) & (x <= F.col("chars") + 1)) | F.exists("in_bytes", lambda x: (x >= F.col("bytes")) & (x <= F.col("bytes") + 3)), F.lit(False))
-    ends = cut_lineage(ends.withColumn("at_spike", near).drop("in_chars", "in_bytes", "chars", "bytes"))
+    docs, ends = _ends(df, doc_id, text, source, kind)
     shares = ends.where("NOT at_spike").groupBy("kind").agg(F.avg((F.col("whole") | F.col("signed")).cast("double")).alias("usual"))
-
-    # sign-offs are torn only where a limit cut them; the few such texts ask how often others end alike
-    last_token = F.regexp_replace(F.regexp_extract("end", r"(\S+)$", 1), r"\d", "9")
-    torn = ends.where("signed").groupBy(last_token.alias("last")).agg(F.count("*").alias("alike"))
-    signed = ends.where("signed AND at_spike").withColumn("last", last_token).join(torn, "last").where("alike < 3").select("doc_id", "source", "at_spike", F.lit("limit").alias("reason"))
-
-    open_ends = ends.where("NOT whole AND NOT signed").join(shares, "kind", "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)) >= USUAL)
-    asks = (F.col("mark") == "dots") | ((F.col("mark") == "none") & ~F.col("usual") & ~F.col("at_spike"))
-    plain = open_ends.where(~asks).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").when(F.col("at_spike"), "limit").otherwise("open").alias("reason"))
+    open_ends = ends.where("NOT whole AND NOT signed AND NOT (at_spike AND mark <> 'dots')").join(shares, "kind", "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)) >= USUAL)
+    asks = (F.col("mark") == "dots") | ((F.col("mark") == "none") & ~F.col("usual"))
+    plain = open_ends.where(~asks).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").otherwise("open").alias("reason"))
 
     # what only the corpus can decide
     unclear = open_ends.where(asks).withColumn("tail", F.regexp_replace("bare", MARK_DOTS, ""))
     endings = cut_lineage(unclear.select("kind", "tail").distinct().mapInPandas(_endings, "kind string, tail string, h4 bigint, h2 bigint, word string, in_word boolean"))
-    counts = cut_lineage(_continuations(docs.select("kind", "text"), endings))
-    seen = lambda n: counts.select(F.col("h").alias(f"h{n}"), F.col("goes").alias(f"goes{n}"), F.col("stops").alias(f"stops{n}"))
-    vocabulary = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)(?=[^\p{L}])"), F.lit(1))).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
-    last_words = endings.where("in_word").select("word").distinct()
-    longer = vocabulary.where("length(v) < 64").select("v", "n", F.explode(F.expr("transform(sequence(1, length(v)), k -> struct(left(v, k) AS word, k = length(v) AS itself))")).alias("x"))
-    longer = longer.select("x.word", "x.itself", "n").join(last_words, "word", "left_semi").groupBy("word").agg(F.coalesce(F.max(F.when(F.col("itself"), F.col("n"))), F.lit(0)).alias("itself"), F.coalesce(F.max(F.when(~F.col("itself"), F.col("n"))), F.lit(0)).alias("longer"))
+    counts = cut_lineage(_corpus_counts(docs, endings))
+    seen = lambda n: counts.where("h IS NOT NULL").select(F.col("h").alias(f"h{n}"), F.col("goes").alias(f"goes{n}"), F.col("stops").alias(f"stops{n}"))
+    vocabulary = counts.where("word IS NOT NULL").select(F.col("word").alias("v"), F.col("goes").alias("n"))
+    longer = _frequencies(endings.where("in_word").select("word").distinct(), vocabulary.where(F.col("v").rlike(r"^\p{L}+$")))
     judged = endings.join(seen(4), "h4", "left").join(seen(2), "h2", "left").join(longer, "word", "left")
     both = lambda n: F.coalesce(f"goes{n}", F.lit(0)) + F.coalesce(f"stops{n}", F.lit(0))
     share = F.when(both(4) >= 3, F.col("goes4") / both(4)).when(both(2) >= 3, F.col("goes2") / both(2))
-    judged = judged.select("kind", "tail", share.alias("share"), (F.col("in_word") & (F.coalesce("longer", F.lit(0)) >= 3) & (F.coalesce("itself", F.lit(0)) * 50 < F.coalesce("longer", F.lit(0)))).alias("inside"))
+    judged = judged.select("kind", "tail", share.alias("share"), (F.col("in_word") & _torn(F.col("itself"), F.col("longer"))).alias("inside"))
     by_dots = F.when(F.col("inside") | F.col("share").isNull() | (F.col("share") >= 0.5), "dots")
     by_end = F.when(F.col("inside"), "word").when(F.col("share") >= GOES_ON, "sentence")
     judged = unclear.join(judged, ["kind", "tail"]).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "dots", by_dots).otherwise(by_end).alias("reason"))
-    return signed.union(plain).union(judged.where("reason IS NOT NULL")).distinct()
+    return _at_spikes(ends).union(plain).union(judged.where("reason IS NOT NULL")).distinct()
 
 
 def truncation_rates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", kind: str = "doc_kind") -> DataFrame:
