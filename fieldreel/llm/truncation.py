@@ -37,35 +37,46 @@ PADDING = " \t\r\n  -=_*~"
 TERMINAL = r"[.!?。！？][\"'”’»“)\]\s]*$"
 NUMBER_LINE = r"(?:^|\n)[ \t]*\d{1,3}[.)]$"
 SIGN_OFF = r"(?<!\s)(?:\s*(?:\n\s*[—–]\s?[^\n]{1,40}|\([A-Z]{1,4}/[A-Z]{1,4}\)|#[\p{L}\p{N}_]+|https?://\S+|[\x{1F000}-\x{1FAFF}\x{FE0F}\x{200D}\x{2600}-\x{27BF}]+))+\s*$"
+MAYBE_SIGNED = r"#|https?://|\([A-Z]{1,4}/|\n\s*[—–]|[\x{1F000}-\x{1FAFF}\x{FE0F}\x{200D}\x{2600}-\x{27BF}]"
 MARK_SAID = r"\s*(?:\.{2,}|…)?\s*(?:\((?:more|mehr|suite|más|continued)\)|\[(?:\+|…|\.\.\.|more)\])\s*$"
 MARK_DOTS = r"\s*(?:\.{3,}|…)\s*$"
 #: Characters at the end in which signatures and marks are looked for first; where they fill them, the whole text is.
 TAIL = 400
+CLOSE = 60
 
 _TOKEN = re.compile(r"\n|[^\W_]+|[^\w\s]|_")
 _codes: dict[str, int] = {}
 
 
-def _coded(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word, mark and line end, and which are words."""
-    missing = list({t for t in found if t not in _codes})
+def _tokens(text: str) -> list[str]:
+    return _TOKEN.findall(text.lower())
+
+
+def _coded(found: list[str]) -> np.ndarray:
+    """Hash of each word, mark and line end; the lowest bit says which are words."""
+    missing = list(set(found) - _codes.keys())
     if missing:
         if len(_codes) > 500_000:
             _codes.clear()
             missing = list(set(found))
-        _codes.update(zip(missing, pd.util.hash_array(np.array(missing, dtype=object), categorize=False).tolist(), strict=True))
-    return np.fromiter((_codes[t] for t in found), np.uint64, len(found)), np.fromiter((t[0].isalnum() for t in found), bool, len(found))
+        hashes = pd.util.hash_array(np.array(missing, dtype=object), categorize=False) & ~np.uint64(1)
+        _codes.update(zip(missing, (hashes | np.fromiter((t[0].isalnum() for t in missing), np.uint64, len(missing))).tolist(), strict=True))
+    return np.fromiter(map(_codes.__getitem__, found), np.uint64, len(found))
+
+
+def _mixed(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    h = (h ^ codes) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(31))
 
 
-def _grams(codes: np.ndarray, n: int, kind: int) -> np.ndarray:
-    """Hash of each n following tokens, for one kind of text."""
+def _grams(codes: np.ndarray, n: int, kind: np.ndarray) -> np.ndarray:
+    """Hash of each n following tokens, for the kind of text at each."""
     m = len(codes) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    h = np.full(m, kind, np.uint64) ^ np.uint64(n)
+    h = kind[:m] ^ np.uint64(n)
     for k in range(n):
-        h = (h ^ codes[k : k + m]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(31)
+        h = _mixed(h, codes[k : k + m])
     return h
 
 
@@ -93,14 +104,25 @@ def spikes(df: DataFrame, source: str, text: str) -> DataFrame:
 def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of each text's end: the hashes of its last four and two tokens, its last token, and whether that is a word."""
     for batch in batches:
-        out = []
-        for kind, tail in zip(batch["kind"], batch["tail"], strict=True):
-            codes, is_word = _coded([t.lower() for t in _TOKEN.findall(tail)])
-            code = _kind_code(kind)
-            last = [int(g[-1:].view(np.int64)[0]) if len(g := _grams(codes, n, code)) else None for n in (4, 2)]
-            found = _TOKEN.findall(tail[-80:])
-            out.append((*last, found[-1].lower() if found else None, bool(is_word[-1]) if len(is_word) else False))
-        yield batch[["kind", "tail"]].assign(**{c: pd.Series([r[k] for r in out], dtype=t, index=batch.index) for k, (c, t) in enumerate((("h4", "Int64"), ("h2", "Int64"), ("word", object), ("in_word", bool)))})
+        last = [_tokens(tail)[-4:] for tail in batch["tail"]]
+        codes = _coded([t for found in last for t in found])
+        size = np.array([len(found) for found in last], dtype=np.int64)
+        kinds = np.array([_kind_code(k) for k in batch["kind"]], np.uint64)
+        end = np.cumsum(size)
+        out = batch[["kind", "tail"]].reset_index(drop=True)
+        for n in (4, 2):
+            has = np.flatnonzero(size >= n)
+            h = kinds[has] ^ np.uint64(n)
+            for k in range(n):
+                h = _mixed(h, codes[end[has] - n + k])
+            column = pd.array(np.zeros(len(size), np.int64), dtype="Int64")
+            column[size < n] = pd.NA
+            column[has] = h.view(np.int64)
+            out[f"h{n}"] = column
+        out["word"] = [found[-1] if found else None for found in last]
+        some = size > 0
+        out["in_word"] = np.where(some, (codes[np.where(some, end - 1, 0)] & np.uint64(1)) > 0, False) if len(codes) else False
+        yield out
 
 
 def _filter_bits(endings: int) -> int:
@@ -118,27 +140,35 @@ def _corpus_counts(docs: DataFrame, endings: DataFrame) -> DataFrame:
     columns = {"h": "Int64", "word": object, "goes": "Int64", "stops": "Int64"}
 
     def counted(words: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"h": None, "word": list(words), "goes": list(words.values()), "stops": 0}).astype(columns)
+        letters = [(w, n) for w, n in words.items() if n and w.isalpha()]
+        return pd.DataFrame({"h": None, "word": [w for w, _ in letters], "goes": [n for _, n in letters], "stops": 0}).astype(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = sent.value
         mask = np.uint64(len(bits) * 64 - 1)
         seen: Counter = Counter()
         for batch in batches:
+            every: list[str] = []
+            lengths, torn = [], []
+            for text in batch["text"]:
+                found = _tokens(text)
+                every += found
+                lengths.append(len(found))
+                if found and text[-1].isalnum():
+                    torn.append(found[-1])
+            codes, lengths = _coded(every), np.array(lengths)
+            seen.update(every)
+            seen.subtract(torn)
+            kinds = np.repeat(np.array([_kind_code(k) for k in batch["kind"]], np.uint64), lengths)
+            text_no = np.repeat(np.arange(len(lengths)), lengths)
             hashes, goes = [np.empty(0, np.uint64)], [np.empty(0, bool)]
-            for kind, text in zip(batch["kind"], batch["text"], strict=True):
-                found = [t.lower() for t in _TOKEN.findall(text)]
-                if not found:
-                    continue
-                codes, is_word = _coded(found)
-                seen.update(found if not text[-1].isalnum() else found[:-1])
-                code = _kind_code(kind)
-                for n in (4, 2):
-                    g = _grams(codes, n, code)[:-1]  # the last has nothing after it
-                    at = g & mask
-                    keep = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-                    hashes.append(g[keep])
-                    goes.append(is_word[n:][keep])
+            for n in (4, 2):
+                g = _grams(codes, n, kinds)[:-1]
+                at = g & mask
+                keep = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+                keep &= text_no[n : n + len(g)] == text_no[: len(g)]  # the last of a text has nothing after it
+                hashes.append(g[keep])
+                goes.append((codes[n : n + len(g)][keep] & np.uint64(1)) > 0)
             h, which = np.unique(np.concatenate(hashes), return_inverse=True)
             word = np.bincount(which, weights=np.concatenate(goes), minlength=len(h)).astype(np.int64)
             yield pd.DataFrame({"h": h.view(np.int64), "word": None, "goes": word, "stops": np.bincount(which, minlength=len(h)) - word}).astype(columns)
@@ -172,22 +202,24 @@ def _torn(itself: Column, longer: Column) -> Column:
 
 
 def _ends(df: DataFrame, doc_id: str, text: str, source: str, kind: str) -> tuple[DataFrame, DataFrame]:
-    """The documents with a text, and of each its end without padding (end), without sign-offs (bare), whether something was signed, its mark, whether it is whole, and whether its length is at a spike."""
+    """The documents with a text, and of each whether something was signed and by what last word, its mark, whether it is whole, else its end without padding and dots (tail), and whether its length is at a spike."""
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"), F.coalesce(F.col(kind), F.lit("")).alias("kind")).where(F.length(text) > 0)
     found = spikes(docs, "source", "text").groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "chars", F.col("length"))).alias("in_chars"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("length"))).alias("in_bytes"))
     found = found.select(F.col("source").alias("s_source"), "in_chars", "in_bytes")
-    # texts are left behind: only their ends go on
-    body = F.rtrim("text", F.lit(PADDING))
-    end = F.right(body, F.lit(TAIL))
-    bare = F.regexp_replace(end, SIGN_OFF, "")
+    # texts are left behind, and of whole ones the ends too; each step below is worked out once, before the exchange
+    ends = docs.withColumn("body", F.rtrim("text", F.lit(PADDING))).withColumn("end", F.right("body", F.lit(TAIL)))
+    ends = ends.withColumn("bare", F.when(F.col("end").rlike(MAYBE_SIGNED), F.regexp_replace("end", SIGN_OFF, "")).otherwise(F.col("end")))
     # what is signed may reach back before the end that was looked at
-    more = (F.length(body) > TAIL) & (F.length(bare) < F.length(end)) & ((F.length(bare) < TAIL // 4) | ~bare.rlike(r"\s"))
-    ends = docs.select("doc_id", "source", "kind", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.when(more, body).otherwise(end).alias("end")).where("end <> ''").distinct()
-    ends = ends.withColumn("bare", F.regexp_replace("end", SIGN_OFF, ""))
-    said, dots = F.col("bare").rlike(MARK_SAID), F.col("bare").rlike(MARK_DOTS)
+    more = (F.length("body") > TAIL) & (F.length("bare") < F.length("end")) & ((F.length("bare") < TAIL // 4) | ~F.col("bare").rlike(r"\s"))
+    ends = ends.withColumn("more", more).withColumn("end", F.when(F.col("more"), F.col("body")).otherwise(F.col("end"))).withColumn("bare", F.when(F.col("more"), F.regexp_replace("body", SIGN_OFF, "")).otherwise(F.col("bare")))
     ends = ends.withColumn("signed", F.length("bare") < F.length("end"))
-    ends = ends.withColumn("mark", F.when(F.col("signed"), F.lit("none")).when(said, F.lit("said")).when(dots, F.lit("dots")).otherwise(F.lit("none")))
-    ends = ends.withColumn("whole", (F.col("mark") == "none") & F.col("bare").rlike(TERMINAL) & ~F.col("bare").rlike(NUMBER_LINE) & ~F.col("signed"))
+    # the last characters decide, unless all of them only close
+    ends = ends.withColumn("close", F.right("bare", F.lit(CLOSE))).withColumn("close", F.when(F.col("close").rlike(r"[^\"'”’»“)\]\s.!?。！？…]"), F.col("close")).otherwise(F.col("bare")))
+    ends = ends.withColumn("mark", F.when(F.col("signed"), F.lit("none")).when(F.col("close").rlike(MARK_SAID), F.lit("said")).when(F.col("close").rlike(MARK_DOTS), F.lit("dots")).otherwise(F.lit("none")))
+    ends = ends.withColumn("whole", ~F.col("signed") & (F.col("mark") == "none") & F.col("close").rlike(TERMINAL) & ~F.col("close").rlike(NUMBER_LINE))
+    tail = F.when(~F.col("whole") & ~F.col("signed"), F.regexp_replace("bare", MARK_DOTS, ""))
+    last = F.when(F.col("signed"), F.regexp_replace(F.regexp_extract("end", r"(\S+)$", 1), r"\d", "9"))
+    ends = ends.select("doc_id", "source", "kind", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), (F.length("body") > 0).alias("any"), "signed", "mark", "whole", tail.alias("tail"), last.alias("last")).distinct().where("any").drop("any")
     ends = ends.join(found, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
     near: Column = F.coalesce(F.exists("in_chars", lambda x: (x >= F.col("chars")) & (x <= F.col("chars") + 1)) | F.exists("in_bytes", lambda x: (x >= F.col("bytes")) & (x <= F.col("bytes") + 3)), F.lit(False))
     return docs, cut_lineage(ends.withColumn("at_spike", near).drop("in_chars", "in_bytes", "chars", "bytes"))
@@ -196,8 +228,7 @@ def _ends(df: DataFrame, doc_id: str, text: str, source: str, kind: str) -> tupl
 def _at_spikes(ends: DataFrame) -> DataFrame:
     """Rows (doc_id, source, at_spike, reason): texts at a spike of their source that neither end a sentence nor are signed, or whose sign-off itself is torn."""
     plain = ends.where("at_spike AND NOT whole AND NOT signed AND mark <> 'dots'").select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").otherwise("limit").alias("reason"))
-    last = F.regexp_replace(F.regexp_extract("end", r"(\S+)$", 1), r"\d", "9")
-    signed = ends.where("signed").withColumn("word", last)
+    signed = ends.where("signed").withColumn("word", F.col("last"))
     asked = signed.where("at_spike").select("word").distinct()
     known = signed.groupBy(F.col("word").alias("v")).agg(F.count("*").alias("n"))
     torn = _frequencies(asked, known).where(_torn(F.col("itself"), F.col("longer"))).select("word")
@@ -239,12 +270,12 @@ def find_truncated(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     plain = open_ends.where(~asks).select("doc_id", "source", "at_spike", F.when(F.col("mark") == "said", "mark").otherwise("open").alias("reason"))
 
     # what only the corpus can decide
-    unclear = open_ends.where(asks).withColumn("tail", F.regexp_replace("bare", MARK_DOTS, ""))
+    unclear = open_ends.where(asks)
     endings = cut_lineage(unclear.select("kind", "tail").distinct().mapInPandas(_endings, "kind string, tail string, h4 bigint, h2 bigint, word string, in_word boolean"))
     counts = cut_lineage(_corpus_counts(docs, endings))
     seen = lambda n: counts.where("h IS NOT NULL").select(F.col("h").alias(f"h{n}"), F.col("goes").alias(f"goes{n}"), F.col("stops").alias(f"stops{n}"))
     vocabulary = counts.where("word IS NOT NULL").select(F.col("word").alias("v"), F.col("goes").alias("n"))
-    longer = _frequencies(endings.where("in_word").select("word").distinct(), vocabulary.where(F.col("v").rlike(r"^\p{L}+$")))
+    longer = _frequencies(endings.where("in_word").select("word").distinct(), vocabulary)
     judged = endings.join(seen(4), "h4", "left").join(seen(2), "h2", "left").join(longer, "word", "left")
     both = lambda n: F.coalesce(f"goes{n}", F.lit(0)) + F.coalesce(f"stops{n}", F.lit(0))
     share = F.when(both(4) >= 3, F.col("goes4") / both(4)).when(both(2) >= 3, F.col("goes2") / both(2))
