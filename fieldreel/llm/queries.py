@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldreel.llm.bpe import encode_texts
 from fieldreel.llm.components import connected_components
 from fieldreel.llm.leakage import find_leaks
-from fieldreel.llm.names import link_names, same_places
+from fieldreel.llm.names import link_names, place_groups, same_places
 from fieldreel.llm.splitting import bisect_items, split_items
 from fieldreel.llm.truncation import find_truncated, find_truncated_at_spikes, spikes, truncation_rates
 from fieldreel.llm.turns import hidden_label_accuracy, inferred_speakers, speaker_turns
@@ -74,6 +74,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_places(read(spark, sf_dir, "places"), "id", "canonical_name", "aliases")
 
 
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row of ``places`` with the smallest id of its place: p7_found without pairs."""
+    return place_groups(read(spark, sf_dir, "places"), "id", "canonical_name", "aliases")
+
+
 def p7_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = link_names(read(spark, sf_dir, "places"), "id", "canonical_name", "aliases")
     return linked.groupBy("place").agg(F.count("*").alias("n_rows"), F.min("id").alias("first_id")).select("first_id", "n_rows")
@@ -109,7 +114,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_at_spikes, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_groups, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_at_spikes, p10_rates, p10_spikes)}
 
 
 _P3 = """

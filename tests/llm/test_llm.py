@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fieldreel.llm.bpe import Encoder, encode_texts, load_vocabulary, merge_word
 from fieldreel.llm.components import connected_components, union_find
 from fieldreel.llm.leakage import find_leaks, words
-from fieldreel.llm.names import link_names, parse_name, same_places
+from fieldreel.llm.names import abbreviates, link_names, one_slip, parse_name, place_groups, same_places
 from fieldreel.llm.queries import TOKENIZERS
 from fieldreel.llm.splitting import bisect_items, bisected, cut_points, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
@@ -369,6 +369,49 @@ def test_leak_with_a_replaced_word(spark):
     assert find_leaks(docs, items, substitutions=1).count() == 1
 
 
+# --- spellings of any names
+
+
+def linked(spark, rows):
+    df = spark.createDataFrame([(str(k), names[0], list(names[1:])) for k, names in enumerate(rows)], "id string, canonical_name string, aliases array<string>")
+    return {(int(r.id_lo), int(r.id_hi)) for r in same_places(df, "id", "canonical_name", "aliases", block=2).collect()}
+
+
+def test_slips_in_names_of_any_number_of_words(spark):
+    rows = [
+        ("Emigrant Gap Sunrise Trailhead",), ("Emigrent Gap Sunrise Trailhead",), ("Auburn Lake",), ("Aubrun Lake",),
+        ("Western States Endurance Run Foundation",), ("Western States Endurance Run Fndn",), ("Muir Lodge",), ("Miur Lodge",),
+        ("San Juan Hill Trail",), ("San Jaun Hill Trail",), ("Redrock Lake",), ("Red Rock Lake",), ("Elk Creek",), ("Elm Creek",),
+        ("Emigrant Gap Sunset Trailhead",), ("Western States Endurance Ride Foundation",), ("J. Q. Adams",), (None,),
+    ]
+    assert linked(spark, rows) == {(k, k + 1) for k in range(0, 12, 2)}
+
+
+def test_abbreviations_and_nicknames_are_learnt_from_merged_names(spark):
+    rows = [("Robert Keller Lodge", "Bob Keller Lodge"), ("Bob Marsh Lodge", "Robert Marsh Lodge"), ("Robert Tanner Bridge",), ("Bob Tanner Bridge",), ("Rob Tanner Bridge",)]
+    assert linked(spark, rows) == {(2, 3)}
+    df = spark.createDataFrame([(str(k), r[0], list(r[1:])) for k, r in enumerate(rows)], "id string, canonical_name string, aliases array<string>")
+    groups = {r.id: r.group_id for r in place_groups(df, "id", "canonical_name", "aliases").collect()}
+    assert groups == {"0": "0", "1": "1", "2": "2", "3": "2", "4": "4"}
+    assert place_groups(df.limit(0), "id", "canonical_name", "aliases").count() == 0
+
+
+@given(st.text("abcd", min_size=3, max_size=8), st.data())
+def test_one_slip(word, data):
+    k = data.draw(st.integers(0, len(word) - 1))
+    assert not one_slip(word, word)
+    longer = word[:k] + "x" + word[k:]
+    assert one_slip(word, longer) and one_slip(longer, word)
+    assert one_slip(word, word[:k] + "x" + word[k + 1 :]) == (len(word) >= 5)
+    if k + 1 < len(word) and word[k] != word[k + 1]:
+        assert one_slip(word, word[:k] + word[k + 1] + word[k] + word[k + 2 :])
+    assert not one_slip(word, "xx" + word)
+
+
+def test_abbreviates():
+    assert abbreviates("fndn", "foundation") and abbreviates("found", "foundation") and not abbreviates("ride", "run") and not abbreviates("f", "foundation") and not abbreviates("fxn", "foundation")
+
+
 # --- truncation
 
 
