@@ -92,6 +92,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_item"))
 
 
+def p9_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 13 consecutive words of an item, of which one may be replaced."""
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_item"), substitutions=1)
+
+
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_docs"))
 
@@ -114,7 +119,7 @@ def p10_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_groups, p7_places, p8_ids, p9_found, p9_items, p10_found, p10_at_spikes, p10_rates, p10_spikes)}
+    return {f.__name__: f for f in (p1_found, p1_recall, p3_found, p4_found, p4_bisected, p5_found, p5_turns, p5_inferred, p5_accuracy, p7_found, p7_groups, p7_places, p8_ids, p9_found, p9_replaced, p9_items, p10_found, p10_at_spikes, p10_rates, p10_spikes)}
 
 
 _P3 = """
@@ -203,6 +208,16 @@ ig AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: ar
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
 """
 
+_P9_REPLACED = r"""
+WITH d AS (SELECT DISTINCT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: replace(lower(x), 'ß', 'ss')) AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT DISTINCT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: replace(lower(x), 'ß', 'ss')) AS w FROM eval_item WHERE text IS NOT NULL),
+dw AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: w[k:k + 12])) AS g FROM d WHERE len(w) >= 13),
+iw AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: w[k:k + 12])) AS g FROM i WHERE len(w) >= 13),
+dk AS (SELECT doc_id, r, hash(g[1:r - 1], 0, g[r + 1:13]) AS h FROM dw, range(1, 14) t(r)),
+ik AS (SELECT item_id, r, hash(g[1:r - 1], 0, g[r + 1:13]) AS h FROM iw, range(1, 14) t(r))
+SELECT DISTINCT doc_id, item_id FROM dk JOIN ik USING (r, h)
+"""
+
 _P10_SPIKES = """
 WITH t AS (SELECT DISTINCT source, text FROM documents WHERE length(text) > 0),
 l AS (SELECT source, 'chars' AS unit, CAST(length(text) AS INTEGER) AS length FROM t UNION ALL SELECT source, 'bytes', CAST(octet_length(encode(text)) AS INTEGER) FROM t),
@@ -216,4 +231,4 @@ SELECT source, unit, length, texts, round(CAST(expected AS DOUBLE), 6) AS expect
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _P3, "p4_found": _P4, "p4_bisected": _P4_BISECTED, "p5_found": _P5, "p9_found": _P9, "p9_items": f"SELECT item_id, count(*) AS n_docs FROM ({_P9}) GROUP BY item_id", "p10_spikes": _P10_SPIKES}
+    return {"p3_found": _P3, "p4_found": _P4, "p4_bisected": _P4_BISECTED, "p5_found": _P5, "p9_found": _P9, "p9_replaced": _P9_REPLACED, "p9_items": f"SELECT item_id, count(*) AS n_docs FROM ({_P9}) GROUP BY item_id", "p10_spikes": _P10_SPIKES}

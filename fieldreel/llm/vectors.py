@@ -209,8 +209,8 @@ def nearest(q: np.ndarray, q_key: np.ndarray, x: np.ndarray, x_key: np.ndarray,
 
 
 def _usable(df: DataFrame, key: str, blob: str, dim: int) -> DataFrame:
-    """Rows (key, blob) of a key and the right length; values are looked at in Python."""
-    return df.select(F.col(key).alias("key"), F.col(blob).alias("blob")).where(F.col(key).isNotNull() & (F.length(blob) == 4 * dim))
+    """Rows (key, blob) of a key and the right length, not all zero bytes; values are looked at in Python."""
+    return df.select(F.col(key).alias("key"), F.col(blob).alias("blob")).where(F.col(key).isNotNull() & (F.length(blob) == 4 * dim) & (F.col(blob) != F.lit(bytes(4 * dim))))
 
 
 def exact_neighbours(df: DataFrame, key: str, blob: str, dim: int, queries: pd.DataFrame, k: int, least: float) -> DataFrame:

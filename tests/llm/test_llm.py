@@ -369,6 +369,22 @@ def test_leak_with_a_replaced_word(spark):
     assert find_leaks(docs, items, substitutions=1).count() == 1
 
 
+@pytest.mark.parametrize("most_sent", [10_000, 0])
+def test_replaced_words_are_ignored_at_every_place(spark, most_sent):
+    rng = random.Random(8)
+    item = [f"w{k}" for k in range(13)]
+    noise = lambda: [f"n{rng.randrange(99)}" for _ in range(6)]
+    one = [[*noise(), *item[:r], "x", *item[r + 1 :], *noise()] for r in range(13)]
+    two = [[*noise(), *("x" if k in pair else w for k, w in enumerate(item)), *noise()] for pair in itertools.combinations(range(13), 2)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([*one, *two, item * 40])], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = lambda n: {r.doc_id for r in find_leaks(docs, items, substitutions=n, most_sent=most_sent).collect()}
+    whole = len(one) + len(two)
+    assert found(0) == {whole}
+    assert found(1) == {*range(13), whole}
+    assert len(found(2)) >= 14 + 0.9 * len(two)
+
+
 # --- spellings of any names
 
 
