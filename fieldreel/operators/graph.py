@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldreel.operators.forest import spanning_forests
 from fieldreel.operators.joins import symmetric_edges
-from fieldreel.session import cut_lineage
+from fieldreel.session import cut_lineage, release
+
+#: Edges of spanning forests that one task merges at most.
+EDGE_BOUND = 400_000
 
 
-def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
+def components(edges: DataFrame, src: str, dst: str, *, edge_bound: int = EDGE_BOUND) -> DataFrame:
     """Rows (id, component): the smallest id that each is linked with, either way.
 
-    Alternating stars: each node hangs its greater neighbours on the least of its neighbourhood, then its smaller ones,
-    until nothing changes. Only edge tables are shuffled; minima are combined before, so hubs cost no more than others.
+    Every partition's edges first reduce to their spanning forest. Forests of at most ``edge_bound`` edges are merged in
+    one task. More go on as alternating stars: each node hangs its greater neighbours on the least of its neighbourhood,
+    then its smaller ones, until nothing changes; minima are combined before shuffles, so hubs cost no more than others.
     """
     own = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna()
-    nodes = own.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    star = cut_lineage(own.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    kind = own.schema["a"].dataType.simpleString()
+    forest = cut_lineage(own.mapInPandas(spanning_forests, f"a {kind}, b {kind}"))
+    if forest.count() <= edge_bound:
+        return forest.coalesce(1).mapInPandas(spanning_forests, f"a {kind}, b {kind}").select(F.col("a").alias("id"), F.col("b").alias("component"))
+    nodes = forest.select(F.col("a").alias("id")).distinct()
+    star = cut_lineage(forest.where("a <> b").distinct())
 
     def hang(e: DataFrame, both_ways: bool) -> DataFrame:
         around = e.union(e.select("b", "a")) if both_ways else e
@@ -29,7 +40,8 @@ def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
 
     signature = None
     while True:
-        star = cut_lineage(hang(hang(star, True), False))
+        before, star = star, cut_lineage(hang(hang(star, True), False))
+        release(before)
         now = tuple(star.agg(F.count("*"), F.expr("coalesce(bit_xor(xxhash64(a, b)), 0)")).first())
         if now == signature:
             break
@@ -41,12 +53,14 @@ def directed_reach(edges: DataFrame, src: str, dst: str, seeds: DataFrame, seed:
     """Rows (seed, id): what can be reached from each seed along the edges, the seed included. Rounds go on while something new is reached."""
     steps = cut_lineage(edges.select(F.col(src).alias("from"), F.col(dst).alias("to")).dropna().distinct())
     found = cut_lineage(seeds.select(F.col(seed).alias("seed"), F.col(seed).alias("id")).dropna().distinct())
-    new = found
+    rounds, new = [found], found
     while not new.isEmpty():
         more = new.join(steps, F.col("id") == F.col("from")).select("seed", F.col("to").alias("id")).distinct()
-        new = cut_lineage(more.join(found, ["seed", "id"], "left_anti"))
-        found = cut_lineage(found.union(new))
-    return found
+        # every pair is in the round that found it first, so rounds need no rewriting
+        known = reduce(DataFrame.union, rounds)
+        new = cut_lineage(more.join(known, ["seed", "id"], "left_anti"))
+        rounds.append(new)
+    return reduce(DataFrame.union, rounds)
 
 
 def edge_tiers(edges: DataFrame, src: str, dst: str, seeds: DataFrame, seed: str) -> DataFrame:
@@ -70,20 +84,22 @@ def ancestors(nodes: DataFrame, id: str, parent: str, depth: int) -> DataFrame:
     return out
 
 
-def cycles(nodes: DataFrame, id: str, parent: str, most: int = 40) -> DataFrame:
-    """Ids (id) that come back to themselves within ``most`` parents, by doubling steps."""
-    up = nodes.select(F.col(id).alias("id"), F.col(parent).alias("to")).dropna().distinct()
-    paths, step = up, 1
-    found = up.where("id = to").select("id")
-    while step < most:
-        far = paths.join(up.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")).distinct()
-        paths = cut_lineage(far)
-        found = found.union(paths.where("id = to").select("id"))
-        paths = paths.where("id <> to")
-        step += 1
-        if paths.isEmpty():
-            break
-    return found.distinct()
+def cycles(nodes: DataFrame, id: str, parent: str) -> DataFrame:
+    """Ids (id) that come back to themselves along their parents.
+
+    Ids without a parent, and those to which no id points, are on no cycle; they are peeled off round by round until
+    nothing changes. Where ids have several parents, what remains may lie between cycles, and is checked by reach.
+    """
+    up = cut_lineage(nodes.select(F.col(id).alias("id"), F.col(parent).alias("to")).dropna().distinct())
+    before, left = -1, up.count()
+    while left and left != before:
+        inner = up.join(up.select(F.col("id").alias("to")).distinct(), "to", "left_semi").join(up.select(F.col("to").alias("id")).distinct(), "id", "left_semi")
+        peeled = cut_lineage(inner.select("id", "to"))
+        release(up)
+        up, before, left = peeled, left, peeled.count()
+    if left == up.select("id").distinct().count():
+        return up.select("id")  # one parent each: all of them lie on cycles
+    return directed_reach(up, "id", "to", up.select(F.col("to").alias("seed"), F.col("id").alias("home")), "seed").join(up.select(F.col("to").alias("seed"), F.col("id").alias("home")), "seed").where("id = home").select("id").distinct()
 
 
 def resolve_merges(merges: DataFrame, loser: str, winner: str) -> DataFrame:

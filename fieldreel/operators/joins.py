@@ -111,6 +111,18 @@ def near_match(wanted: DataFrame, present: DataFrame, keys: list[str], id: str,
     return wanted.select(id).join(known, id, "left").select(id, F.coalesce("status", F.lit("orphan")).alias("status"), "to")
 
 
+def lookup(rows: DataFrame, table: DataFrame, key: str, spread: str, how: str = "inner", hot: int = 1_000_000) -> DataFrame:
+    """``rows`` joined with the one row that ``table`` has for each ``key``; keys of more than ``hot`` rows meet in several parts, chosen by the column ``spread``.
+
+    Only keys that are hot are counted out, after counts are combined before the shuffle, and only their rows of the
+    table are repeated.
+    """
+    many = rows.groupBy(key).agg(F.ceil(F.count("*") / hot).cast("int").alias("_p")).where("_p > 1")
+    left = rows.join(many, key, "left").withColumn("_s", F.pmod(F.xxhash64(spread), F.coalesce("_p", F.lit(1)))).drop("_p")
+    right = table.join(many, key, "left").withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.coalesce("_p", F.lit(1)) - 1).cast("bigint")))).drop("_p")
+    return left.join(right, [key, "_s"], how).drop("_s")
+
+
 def cascade(df: DataFrame, key: str, lookups: list[tuple[Column, DataFrame, str, str]], out: str) -> DataFrame:
     """``df`` with ``out``: the value of the first lookup (expression over df, table, key column, value column) that knows it.
 

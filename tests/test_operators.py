@@ -187,3 +187,25 @@ def test_streams_equal_batches(spark, sf_dir, tmp_path):
     windows.append_journal(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination(120)
     windows.append_journal(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.count()
+
+
+def test_components_by_forest_and_by_stars(spark):
+    rng = random.Random(2)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, 401) for k in range(380, 400)] + [(None, 1), (5, 5)]
+    df = spark.createDataFrame(pairs, "a int, b int").repartition(4)
+    forest, stars = ({(r.id, r.component) for r in graph.components(df, "a", "b", edge_bound=n).collect()} for n in (10_000, 10))
+    assert forest == stars and all(c <= i for i, c in forest)
+    assert graph.components(df.limit(0), "a", "b").count() == 0
+
+
+def test_cycles_of_any_length(spark):
+    rows = [(k, (k + 1) % 60) for k in range(60)] + [(100, 3), (3, 101), (200, 200), (300, 301), (301, 302), (None, 1), (1, None)]
+    df = spark.createDataFrame(rows, "id int, parent int")
+    assert {r.id for r in graph.cycles(df, "id", "parent").collect()} == {*range(60), 200}
+
+
+def test_lookup_spreads_hot_keys(spark):
+    rows = spark.createDataFrame([("a", k) for k in range(100)] + [("b", 1), ("c", 2)], "k string, v int")
+    table = spark.createDataFrame([("a", 10), ("b", 20)], "k string, w int")
+    got = {tuple(r) for r in joins.lookup(rows, table, "k", "v", "left", hot=7).collect()}
+    assert got == {("a", k, 10) for k in range(100)} | {("b", 1, 20), ("c", 2, None)}
