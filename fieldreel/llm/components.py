@@ -2,58 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldreel.session import cut_lineage
+from fieldreel.operators.forest import spanning_forests
+from fieldreel.operators.joins import lookup
+from fieldreel.session import cut_lineage, release
 
 #: Edges that one task merges at most; 64-character ids then take about 200 MB in Python.
 EDGE_BOUND = 400_000
 
 
-def union_find(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest linked number of each of 0..n-1: trees hang under their smaller root, paths are compressed after each round."""
-    parent = np.arange(n)
-    while a.size:
-        ra, rb = parent[a], parent[b]
-        apart = ra != rb
-        if not apart.any():
-            break
-        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
-        while not np.array_equal(parent, above := parent[parent]):
-            parent = above
-    return parent
-
-
-def _forest(pdf: pd.DataFrame) -> pd.DataFrame:
-    codes, ids = pd.factorize(np.concatenate([pdf["a"].to_numpy(), pdf["b"].to_numpy()]), sort=True)
-    half = len(pdf)
-    return pd.DataFrame({"a": ids, "b": ids[union_find(codes[:half], codes[half:], len(ids))]})
-
-
-def _spanning_forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The partition's forest as rows (node, smallest node of its tree); grows with its distinct nodes, not with its edges."""
-    kept: pd.DataFrame | None = None
-    waiting: list[pd.DataFrame] = []
-    size = 0
-    for batch in batches:
-        if len(batch):
-            waiting.append(batch)
-            size += len(batch)
-        if size >= 100_000:
-            kept, waiting, size = _forest(pd.concat([kept, *waiting] if kept is not None else waiting)), [], 0
-    if waiting:
-        kept = _forest(pd.concat([kept, *waiting] if kept is not None else waiting))
-    if kept is not None:
-        yield kept
-
-
 def connected_components(pairs: DataFrame, left: str, right: str, *, edge_bound: int = EDGE_BOUND) -> DataFrame:
     """One row (id, group_id) for each id of a pair; group_id is the smallest id linked with it directly or indirectly.
 
@@ -68,27 +29,31 @@ def connected_components(pairs: DataFrame, left: str, right: str, *, edge_bound:
     kind = pairs.schema[left].dataType
     schema = f"a {kind.simpleString()}, b {kind.simpleString()}"
     edges = pairs.select(F.col(left).alias("a"), F.col(right).alias("b")).dropna()
-    edges = cut_lineage(edges.mapInPandas(_spanning_forests, schema))
+    edges = cut_lineage(edges.mapInPandas(spanning_forests, schema))
     steps: list[DataFrame] = []
     while (n := edges.count()) > edge_bound:
         level = len(steps)
-        forest = cut_lineage(edges.repartition(-(-n // edge_bound)).mapInPandas(_spanning_forests, schema))
+        forest = cut_lineage(edges.repartition(-(-n // edge_bound)).mapInPandas(spanning_forests, schema))
+        release(edges)
         ends = forest.select("a", "b").union(forest.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct(F.xxhash64(F.lit(level), c).alias("h"), F.col(c).alias("id"))
         step = ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min(rank("b")), F.first(rank("a")))["id"].alias("to"))
         step = cut_lineage(step)
         steps.append(step)
+        # the node that a hub's edges share is one key with many rows
         to = lambda c: step.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to"))
-        edges = forest.where("a <> b").join(to("a"), "a").join(to("b"), "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))
-        edges = cut_lineage(edges.where("a <> b").mapInPandas(_spanning_forests, schema))
-    top = edges.coalesce(1).mapInPandas(_spanning_forests, schema).select(F.col("a").alias("node"), F.col("b").alias("to"))
+        edges = lookup(lookup(forest.where("a <> b"), to("a"), "a", "b", hot=edge_bound), to("b"), "b", "a", hot=edge_bound).select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))
+        edges = cut_lineage(edges.where("a <> b").mapInPandas(spanning_forests, schema))
+        release(forest)
+    top = edges.coalesce(1).mapInPandas(spanning_forests, schema).select(F.col("a").alias("node"), F.col("b").alias("to"))
     if not steps:
         return top.select(F.col("node").alias("id"), F.col("to").alias("group_id"))
 
     def follow(above: DataFrame, step: DataFrame) -> DataFrame:
         nxt = above.select(F.col("node").alias("to"), F.col("to").alias("far"))
-        return step.join(nxt, "to", "left").select("node", F.coalesce("far", "to").alias("to"))
+        return cut_lineage(lookup(step, nxt, "to", "node", "left", hot=edge_bound).select("node", F.coalesce("far", "to").alias("to")))
 
-    found = cut_lineage(reduce(follow, reversed(steps), top))
+    found = reduce(follow, reversed(steps), top)
+    release(*steps, edges)
     least = found.groupBy("to").agg(F.min("node").alias("group_id"))
-    return found.join(least, "to").select(F.col("node").alias("id"), "group_id")
+    return lookup(found, least, "to", "node", hot=edge_bound).select(F.col("node").alias("id"), "group_id")

@@ -11,13 +11,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fieldreel.llm.bpe import Encoder, encode_texts, load_vocabulary, merge_word
-from fieldreel.llm.components import connected_components, union_find
+from fieldreel.llm.components import connected_components
 from fieldreel.llm.leakage import find_leaks, words
 from fieldreel.llm.names import abbreviates, link_names, one_slip, parse_name, place_groups, same_places
 from fieldreel.llm.queries import TOKENIZERS
 from fieldreel.llm.splitting import bisect_items, bisected, cut_points, split_items
 from fieldreel.llm.truncation import find_truncated, spikes, truncation_rates
 from fieldreel.llm.turns import hidden_label_accuracy, infer_speakers, inferred_speakers, most_likely, speaker_turns
+from fieldreel.operators.forest import union_find
 from fieldreel.llm.vectors import calibrate, fit_tree, graft, measured_recall, nearest, similar_pairs, unit_vectors
 
 
