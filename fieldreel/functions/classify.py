@@ -36,13 +36,33 @@ def shot_flags(sharpness: Column, exposure: Column, clipping: Column, duration:
     return {"is_blurry": _flag(sharpness < BLURRY_BELOW), "is_dark": _flag(exposure < DARK_BELOW), "is_blown": _flag((exposure > BLOWN_ABOVE) | (clipping > BLOWN_CLIP)), "is_in_focus": _flag(sharpness >= BLURRY_BELOW), "is_setup_or_teardown": _flag(at_edge & (duration <= SETUP_SEC))}
 
 
+# Kinds of footage and the pattern of a lower-case path that speaks of each, in order.
+ASSET_TYPES = (
+    ("court_recordings", r"hearing|trial[ _-]audio|courtroom"),
+    ("b_roll", r"b[- ]roll|(^|[\\/_.-])broll([\\/_.-]|$)|stock vids"),
+    ("third_party", r"(^|[\\/])(podcasts?|adobe podcast)([\\/]|$)"),
+    ("interview", r"\binterviews?\b| int "),
+    ("timelapse", r"time[- ]?lapse"),
+    ("archival", r"archival|\bhistory\b"),
+    ("third_party", r"\bpodcasts?\b|(^|[\\/_. -])news($|[\\/_. -])"),
+)
+
+# Patterns of a sound file's path, the role they speak for, and the reason that is given.
+RECORDERS = (
+    (r"(?i)DJI_\d+_\d{8}_\d{6}\.WAV$", "audio_source", "DJI Mic 2 wireless lavalier"),
+    (r"(?i)\.RDC[/\\][^/\\]+\.wav$", "audio_source", "RED .RDC bundle XLR-input audio"),
+    (r"(?i)Tentacle\s*Track", "audio_source", "Tentacle Track production bag recorder"),
+    (r"(?i)ZOOM\d+", "audio_source", "Zoom handheld recorder"),
+    (r"(?i)^(?=.*[/\\]Audio[/\\]).*C\d{4}[^/\\]*\.(wav|mp3)$", "audio_source", "Sony PCM handheld recorder in Audio/ folder"),
+    (r"(?i)[/\\]Audio[/\\]", "audio_source", "production audio folder (unrecognized recorder)"),
+)
+NO_PATH, NO_RECORDER = ("audio_overlap", "no path"), ("audio_overlap", "no production-audio signal in path")
+
+
 def asset_type(path: Column) -> Column:
-    """Kind of footage that a path speaks of; verite if none."""
+    """Kind of footage that a path speaks of, by the first pattern that it meets; verite if none."""
     p = F.lower(F.coalesce(path, F.lit("")))
-    return first_match([
-        (p.rlike(r"hearing|trial[ _-]audio|courtroom"), "court_recordings"), (p.rlike(r"b[- ]roll|(^|[\\/_.-])broll([\\/_.-]|$)|stock vids"), "b_roll"), (p.rlike(r"(?<![a-z])interviews?(?![a-z])| int "), "interview"),
-        (p.rlike(r"time[- ]?lapse"), "timelapse"), (p.rlike(r"archival|\bhistory\b"), "archival"), (p.rlike(r"\bpodcasts?\b|(^|[\\/_. -])news($|[\\/_. -])"), "third_party"),
-    ], "verite")
+    return first_match([(p.rlike(pattern), kind) for kind, pattern in ASSET_TYPES], "verite")
 
 
 def asset_bucket(path: Column, third_party_tops: list[str], has_human: Column) -> Column:
@@ -63,14 +83,12 @@ def camera_id(filename: Column) -> Column:
 def recorder_role(path: Column) -> Column:
     """Struct (role, reason): whether a sound file comes from a recorder of its own or from a camera."""
     p = F.coalesce(path, F.lit(""))
-    folder = p.rlike(r"(?i)[/\\]audio[/\\]")
     of = lambda role, why: F.struct(F.lit(role).alias("role"), F.lit(why).alias("reason"))
-    chain = F.when(p == "", of("audio_overlap", "no path")).when(p.rlike(r"(?i)DJI_\d+_\d{8}_\d{6}\.WAV$"), of("audio_source", "wireless lavalier")).when(p.rlike(r"(?i)\.RDC[/\\][^/\\]+\.wav$"), of("audio_source", "camera bundle with line input"))
-    chain = chain.when(p.rlike(r"(?i)Tentacle\s*Track"), of("audio_source", "bag recorder track")).when(p.rlike(r"(?i)ZOOM\d+"), of("audio_source", "handheld recorder"))
-    chain = chain.when(p.rlike(r"(?i)C\d{4}[^/\\]*\.(wav|mp3)$") & folder, of("audio_source", "handheld recorder in audio folder")).when(folder, of("audio_source", "audio folder"))
-    return chain.otherwise(of("audio_overlap", "no sign of a recorder"))
+    chain = reduce(lambda c, r: c.when(p.rlike(r[0]), of(r[1], r[2])), RECORDERS, F.when(p == "", of(*NO_PATH)))
+    return chain.otherwise(of(*NO_RECORDER))
 
 
+# How transfer and primaries of a video stream are named by the probe.
 def color_profile(primaries: Column, transfer: Column) -> Column:
     cp, ct = F.lower(F.coalesce(primaries, F.lit(""))), F.lower(F.coalesce(transfer, F.lit("")))
     unsaid = ct.isin("", "unknown", "reserved")

@@ -131,7 +131,46 @@ def excerpt(text: Column, most: int) -> Column:
     return F.when(F.length(text) > most, F.concat(F.rtrim(F.left(text, F.lit(most - 1))), F.lit("…"))).otherwise(text)
 
 
-def relevance_rank(similarity: Column, span: Column, *, advertising: Column, at_end: Column, at_start: Column, keyword_hits: Column) -> Column:
-    """Rank of a stretch of speech: likeness times the root of its length, less for advertising, the end and the start, more for keywords."""
-    factor = F.when(advertising, 0.35).otherwise(1.0) * F.when(at_end, 0.75).otherwise(1.0) * F.when(at_start, 0.9).otherwise(1.0) * (1 + 0.05 * F.least(keyword_hits, F.lit(6)))
-    return similarity * factor * F.sqrt(F.greatest(span, F.lit(0.0)))
+# Factors of a stretch's rank. Lexical: a strong term, the topic with one of its companions, the topic, none.
+# Early: a start before so many seconds of a stretch shorter than so many. Late: a midpoint from such a share of the whole.
+LEXICAL = (1.0, 0.88, 0.72, 0.58)
+EARLY = ((180.0, 130.0, 0.72), (360.0, 200.0, 0.86))
+LATE = ((0.92, 0.42), (0.86, 0.68), (0.82, 0.82))
+COLD_OPEN_UNTIL, COLD_OPEN, COLD_OPEN_NAMED = 240.0, 0.6, 0.52
+COLD_OPEN_WORDS = ("welcome", "joins the pod", "joins the podcast", "special episode", "good morning")
+ADVERTS, ADVERT = 0.38, 0.62
+LEAST_SPAN = 30.0
+
+
+def _holds(text: Column, words: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(text, F.lit(w)) for w in words), F.lit(False))
+
+
+def lexical_boost(text: Column, strong: tuple[str, ...], topic: str | None = None, companions: tuple[str, ...] = ()) -> Column:
+    """Factor of a text in lower case by what it names: a strong term, the topic beside a companion word, the topic alone, or nothing."""
+    about = F.contains(text, F.lit(topic)) if topic else F.lit(False)
+    return F.when(_holds(text, strong), LEXICAL[0]).when(about & _holds(text, companions), LEXICAL[1]).when(about, LEXICAL[2]).otherwise(LEXICAL[3])
+
+
+def advert_factor(text: Column, brands: tuple[str, ...] = ()) -> Column:
+    """Factor of a text in lower case by how many signs of advertising stand in it."""
+    has = lambda w: F.contains(text, F.lit(w))
+    signs = (has("brought to you by"), has("official") & has("partner"), has("use code") | has("promo code") | has("discount"), has(".com") & (has("%") | has("off your") | has("hop on")), _holds(text, brands))
+    hits = reduce(lambda a, b: a + b, (s.cast("int") for s in signs))
+    return F.when(hits >= 2, ADVERTS).when(hits == 1, ADVERT).otherwise(1.0)
+
+
+def cold_open_factor(text: Column, start: Column, strong: tuple[str, ...], named: tuple[str, ...] = ()) -> Column:
+    """Factor of a greeting near the start in which no strong term is spoken yet; lower if one of ``named`` is announced."""
+    opening = (start <= COLD_OPEN_UNTIL) & ~_holds(text, strong) & _holds(text, COLD_OPEN_WORDS)
+    return F.when(opening & _holds(text, named), COLD_OPEN_NAMED).when(opening, COLD_OPEN).otherwise(1.0)
+
+
+def relevance_rank(peak: Column, start: Column, end: Column, total: Column, text: Column, *, strong: tuple[str, ...] = (), topic: str | None = None, companions: tuple[str, ...] = (), named: tuple[str, ...] = (), brands: tuple[str, ...] = ()) -> Column:
+    """Rank of a stretch of speech: the best likeness in it times the root of its length (half a minute at least), times factors for what it names, for an early start, a cold open, advertising and a late place. ``total`` is the recording's length; null or 0 gives no factor for a late place. Terms are in lower case."""
+    span = F.greatest(F.lit(LEAST_SPAN), end - start)
+    early = F.when((start < EARLY[0][0]) & (span < EARLY[0][1]), EARLY[0][2]).when((start < EARLY[1][0]) & (span < EARLY[1][1]), EARLY[1][2]).otherwise(1.0)
+    place = F.when(total > 0, (start + end) / 2 / total)
+    late = reduce(lambda c, x: c.when(place >= x[0], x[1]), LATE[1:], F.when(place >= LATE[0][0], LATE[0][1])).otherwise(1.0)
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return peak * lexical_boost(low, strong, topic, companions) * early * cold_open_factor(low, start, strong, named) * advert_factor(low, brands) * late * F.sqrt(span)

@@ -18,26 +18,30 @@ def keyword_windows(segments: DataFrame, keywords: dict[str, float], *, pad: flo
     return greedy_budget(merge_hits(hits, "asset_id", "start_sec", "end_sec", "_s", pad=pad, gap=gap), ["entity"], "start", "end", "score", budget)
 
 
-def similarity_threshold(df: DataFrame, entity: str, value: str, *, floor: float = 0.25, top: int = 8, share: float = 0.85) -> DataFrame:
-    """Rows (entity, threshold): the floor, or a share of the mean of the entity's best values if higher."""
-    best = top_k_per(df.where(F.col(value).isNotNull()), [entity], [F.desc(value)], top)
+def similarity_threshold(df: DataFrame, entity: str, value: str, *, floor: float = 0.25, share: float = 0.85) -> DataFrame:
+    """Rows (entity, threshold): the floor, or a share of the mean of the entity's best values if higher.
+
+    The best are a twenty-fifth of the values and six, but not under five nor over fourteen of them.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    most = F.greatest(F.lit(5), F.least(F.lit(14), F.floor(F.col("_n") / 25) + 6))
+    best = top_k_per(rows, [entity], [F.desc(value)], 14).join(rows.groupBy(entity).agg(F.count("*").alias("_n")), entity).where(F.col("rank") <= most)
     return best.groupBy(entity).agg(F.greatest(F.lit(floor), F.avg(value) * share).alias("threshold"))
 
 
-def vector_windows(chunks: DataFrame, query: list[float], *, gap: float = 30.0, floor: float = 0.25, companions: int = 2, keywords: dict[str, float] | None = None) -> DataFrame:
+def vector_windows(
+    chunks: DataFrame, query: list[float], *, gap: float = 30.0, floor: float = 0.25, companions: int = 2, strong: tuple[str, ...] = (), topic: str | None = None, topic_words: tuple[str, ...] = (), named: tuple[str, ...] = (), brands: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows (asset_id, start, end, rank_score, role): runs of chunks near a query, the best as ``primary``, further ones as ``companion``.
 
-    ``chunks``: asset_id, start, end, text, vector. Runs begin anew after a gap from the chunk just before. Rank falls
-    for advertising, the last and first tenth of the recording, and rises with keywords.
+    ``chunks``: asset_id, start, end, text, vector. Runs begin anew after a gap from the chunk just before. Runs are
+    ranked as ``relevance_rank`` says, by the best likeness in each.
     """
     scored = chunks.withColumn("sim", cosine(F.col("vector"), literal(query))).where("sim IS NOT NULL")
     total = chunks.groupBy("asset_id").agg(F.max("end").alias("total"))
     chosen = scored.join(similarity_threshold(scored, "asset_id", "sim", floor=floor), "asset_id").where("sim >= threshold")
-    runs = cluster_by_gap(chosen, "asset_id", "start", "end", gap).groupBy("asset_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.avg("sim").alias("sim"), F.array_join(F.collect_list("text"), " ").alias("text")).join(total, "asset_id")
-    hits = F.size(keyword_score(F.col("text"), keywords)["matched"]) if keywords else F.lit(0)
-    low = F.lower("text")
-    adverts = low.contains("sponsor") | low.contains("promo code") | low.contains("discount")
-    rank = relevance_rank(F.col("sim"), F.col("end") - F.col("start"), advertising=adverts, at_end=F.col("start") >= F.col("total") * 0.9, at_start=F.col("end") <= F.col("total") * 0.1, keyword_hits=hits)
+    runs = cluster_by_gap(chosen, "asset_id", "start", "end", gap).groupBy("asset_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("sim").alias("peak"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda x: x["text"]), " ").alias("text")).join(total, "asset_id")
+    rank = relevance_rank(F.col("peak"), F.col("start"), F.col("end"), F.col("total"), F.col("text"), strong=strong, topic=topic, companions=topic_words, named=named, brands=brands)
     best = top_k_per(runs.withColumn("rank_score", rank), ["asset_id"], [F.desc("rank_score"), F.col("start")], 1 + companions)
     return best.select("asset_id", "start", "end", "rank_score", F.when(F.col("rank") == 1, "primary").otherwise("companion").alias("role"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldreel.functions.columns import overlap
@@ -44,7 +44,7 @@ def shares(df: DataFrame, scene: str, who: str, seconds: str, dominant: float =
     rows = df.where(F.col(who).isNotNull()).groupBy(scene, who).agg(F.sum(seconds).alias("seconds"))
     total = rows.groupBy(scene).agg(F.sum("seconds").alias("_t"))
     rows = rows.join(total, scene).withColumn("share", F.when(F.col("_t") > 0, F.col("seconds") / F.col("_t")).otherwise(F.lit(0.0))).drop("_t")
-    ranked = top_k_per(rows, [scene], [F.desc("seconds"), F.col(who)], 1_000_000)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(scene).orderBy(F.desc("seconds"), F.col(who))))
     return ranked.withColumn("dominant", (F.col("rank") == 1) | (F.col("share") >= dominant))
 
 

@@ -278,8 +278,8 @@ def visually_similar_each(frames: DataFrame, chunks: DataFrame, seeds: DataFrame
 
 
 # Words by which a moment is clean or spoiled.
-SPOILED = ("shak", "blur", "obscur", "setup", "adjust", "focus hunt", "black frame", "out of focus")
-CLEAN = ("steady", "clear", "smooth", "close-up", "reveal", "wide view", "in focus")
+CLEAN = ("clean", "static", "wide", "stable", "settled", "establishing", "reveal", "centered", "in focus", "racks focus")
+SPOILED = ("pan", "drift", "whip", "sigh", "handheld", "shake", "tilt", "wobble", "out of focus", "blurry", "obscur")
 
 
 def moment_class(description: Column) -> Column:

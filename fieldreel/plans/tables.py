@@ -113,7 +113,7 @@ def proj_shot(li):
 @_query(
     "proj_camera_and_type",
     r"""SELECT DISTINCT asset_id, CASE WHEN b LIKE 'IMG\_%' ESCAPE '\' THEN 'iphone' WHEN b LIKE 'DJI\_%' ESCAPE '\' THEN 'dji' WHEN regexp_matches(b, '^G[XHP]') THEN 'gopro' WHEN regexp_matches(b, '^[A-Z]\d{4}') THEN 'sony_' || lower(b[1]) || b[2] || 'xxx' WHEN b LIKE '%.R3D' THEN 'red' ELSE 'unknown' END AS camera,
-    CASE WHEN regexp_matches(p, 'hearing|trial[ _-]audio|courtroom') THEN 'court_recordings' WHEN regexp_matches(p, 'b[- ]roll|(^|[\\/_.-])broll([\\/_.-]|$)|stock vids') THEN 'b_roll' WHEN regexp_matches(p, '(^|[^a-z])interviews?([^a-z]|$)| int ') THEN 'interview' WHEN regexp_matches(p, 'time[- ]?lapse') THEN 'timelapse' WHEN regexp_matches(p, 'archival|\bhistory\b') THEN 'archival' WHEN regexp_matches(p, '\bpodcasts?\b|(^|[\\/_. -])news($|[\\/_. -])') THEN 'third_party' ELSE 'verite' END AS kind
+    CASE WHEN regexp_matches(p, 'hearing|trial[ _-]audio|courtroom') THEN 'court_recordings' WHEN contains(p, 'b-roll') OR contains(p, 'b roll') OR contains(p, 'stock vids') OR regexp_matches(p, '(^|[\\/_.-])broll([\\/_.-]|$)') THEN 'b_roll' WHEN len(list_intersect(regexp_split_to_array(p, '[\\/]'), ['podcast', 'podcasts', 'adobe podcast'])) > 0 THEN 'third_party' WHEN regexp_matches(p, '\binterviews?\b') OR contains(p, ' int ') THEN 'interview' WHEN contains(p, 'timelapse') OR contains(p, 'time-lapse') OR contains(p, 'time lapse') THEN 'timelapse' WHEN contains(p, 'archival') OR regexp_matches(p, '\bhistory\b') THEN 'archival' WHEN regexp_matches(p, '\bpodcasts?\b|(^|[\\/_. -])news($|[\\/_. -])') THEN 'third_party' ELSE 'verite' END AS kind
     FROM (SELECT asset_id, upper(coalesce(filename, '')) AS b, lower(coalesce(source_path, '')) AS p FROM asset)""",
     "asset",
 )
@@ -134,11 +134,14 @@ def proj_frames(s):
 
 @_query(
     "proj_recorder_role",
-    r"SELECT DISTINCT asset_id, CASE WHEN coalesce(source_path, '') = '' THEN 'audio_overlap' WHEN regexp_matches(source_path, 'DJI_\d+_\d{8}_\d{6}\.WAV$|\.RDC[/\\][^/\\]+\.wav$|Tentacle\s*Track|ZOOM\d+|[/\\]audio[/\\]', 'i') THEN 'audio_source' ELSE 'audio_overlap' END AS role FROM asset",
+    r"""SELECT DISTINCT asset_id, CASE WHEN p <> '' AND regexp_matches(p, 'DJI_\d+_\d{8}_\d{6}\.WAV$|\.RDC[/\\][^/\\]+\.wav$|Tentacle\s*Track|ZOOM\d+|[/\\]audio[/\\]', 'i') THEN 'audio_source' ELSE 'audio_overlap' END AS role,
+    CASE WHEN p = '' THEN 'no path' WHEN regexp_matches(p, 'DJI_\d+_\d{8}_\d{6}\.WAV$', 'i') THEN 'DJI Mic 2 wireless lavalier' WHEN regexp_matches(p, '\.RDC[/\\][^/\\]+\.wav$', 'i') THEN 'RED .RDC bundle XLR-input audio' WHEN regexp_matches(p, 'Tentacle\s*Track', 'i') THEN 'Tentacle Track production bag recorder' WHEN regexp_matches(p, 'ZOOM\d+', 'i') THEN 'Zoom handheld recorder'
+      WHEN regexp_matches(p, 'C\d{4}[^/\\]*\.(wav|mp3)$', 'i') AND regexp_matches(p, '[/\\]audio[/\\]', 'i') THEN 'Sony PCM handheld recorder in Audio/ folder' WHEN regexp_matches(p, '[/\\]audio[/\\]', 'i') THEN 'production audio folder (unrecognized recorder)' ELSE 'no production-audio signal in path' END AS reason
+    FROM (SELECT asset_id, coalesce(source_path, '') AS p FROM asset)""",
     "asset",
 )
 def proj_role(a):
-    return a.select("asset_id", classify.recorder_role(F.col("source_path"))["role"].alias("role")).distinct()
+    return a.select("asset_id", F.inline(F.array(classify.recorder_role(F.col("source_path"))))).distinct()
 
 
 @_query("proj_changed_rows", "SELECT count(*) AS n, count(*) FILTER (a.primary_timeline_date IS DISTINCT FROM a.shoot_date) AS changed FROM asset a", "asset")

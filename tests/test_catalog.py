@@ -101,7 +101,7 @@ def test_filters(tables):
 
 def test_source_windows(spark):
     assets = spark.createDataFrame([("a", 100.0, "static"), ("b", 100.0, "handheld"), ("c", 100.0, "static"), ("d", 0.0, None), ("e", 40.0, None)], "asset_id string, duration_sec double, camera_movement string")
-    moments = spark.createDataFrame([("c", 10.0, "steady shot"), ("c", 14.0, "shaky"), ("c", 50.0, "clear view"), ("e", 20.0, "blurry"), ("e", 5.0, "smooth"), ("e", 30.0, "x")], "asset_id string, timestamp_sec double, description string")
+    moments = spark.createDataFrame([("c", 10.0, "Stable shot"), ("c", 14.0, "handheld, wide"), ("c", 50.0, "racks focus"), ("e", 20.0, "blurry"), ("e", 5.0, "a static view"), ("e", 30.0, "x")], "asset_id string, timestamp_sec double, description string")
     got = {r.asset_id: (r.source_in, r.source_out) for r in composers.source_windows(assets, moments, 15.0).collect()}
     assert got == {"a": (0.0, 15.0), "b": (2.0, 17.0), "c": (51.0, 66.0), "d": (0.0, 15.0), "e": (0.0, 15.0)}
 

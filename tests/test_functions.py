@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldreel.functions import classify, columns, generators
+from fieldreel.functions import classify, columns, generators, media
 from fieldreel.functions.python import align, fingerprint_match, fold, ratio, stem, substring_boost
 from fieldreel.operators.fingerprints import apply_links, propose_links, quick_probe
 
@@ -81,3 +81,17 @@ def test_link_proposals(spark):
     edges = spark.createDataFrame([("v1", "a1")], "src string, dst string")
     assert {tuple(r) for r in apply_links(got, edges).collect()} == {("v1", "a1"), ("a1", "v1")}
     assert video.select(fingerprint_match("fp", F.lit(None).cast("array<long>"))["similarity"]).first()[0] == 0.0
+
+
+def test_paths_are_classified_in_order(spark):
+    paths = {"/x/Podcasts/interview.mp3": "third_party", "/x/interview2.mov": "verite", "/x/Interviews/a.mov": "interview", "/x/history/a.mov": "archival", "/x/a podcast about.mov": "third_party", "/x/b roll/podcast/a.mov": "b_roll", "/x/news/a.mov": "third_party", "": "verite"}
+    assert one(spark, *(classify.asset_type(F.lit(p)) for p in paths)) == tuple(paths.values())
+    reasons = {"a/DJI_01_20240101_101010.wav": "DJI Mic 2 wireless lavalier", "x/A001.RDC/b.wav": "RED .RDC bundle XLR-input audio", "TentacleTrack1.wav": "Tentacle Track production bag recorder", "ZOOM0001.wav": "Zoom handheld recorder", "x/Audio/C0001.wav": "Sony PCM handheld recorder in Audio/ folder", "x/audio/b.wav": "production audio folder (unrecognized recorder)", "x/C0001.wav": "no production-audio signal in path", "": "no path"}
+    assert tuple(r["reason"] for r in one(spark, *(classify.recorder_role(F.lit(p)) for p in reasons))) == tuple(reasons.values())
+
+
+def test_factors_of_relevance(spark):
+    rank = lambda text, start, end, total, **kw: media.relevance_rank(F.lit(1.0), F.lit(start), F.lit(end), F.lit(total), F.lit(text), **kw)
+    got = one(spark, rank("x", 1_000.0, 1_100.0, 5_000.0), rank("The Ridge record", 1_000.0, 1_100.0, 5_000.0, topic="ridge", companions=("record",)), rank("the storm", 100.0, 110.0, 5_000.0, strong=("storm",)), rank("welcome, use code X at a.com, 10% off", 10.0, 20.0, None), rank("x", 900.0, 1_000.0, 1_000.0))
+    want = (0.58 * 10, 0.88 * 10, 0.72 * 30**0.5, 0.58 * 0.72 * 0.6 * 0.38 * 30**0.5, 0.58 * 0.42 * 10)
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=True))
