@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldreel.functions.columns import cosine, dot, norm, usable_vector
+from fieldreel.operators.graph import components
 from fieldreel.operators.joins import nearest
 from fieldreel.operators.ranking import margin_gate, top_k_per
-from fieldreel.session import steady
+from fieldreel.session import cut_lineage, steady
 
 # About as many queries and rows are in a block when all meet all.
 QUERY_BLOCK, ROW_BLOCK = 500, 10_000
@@ -122,3 +123,34 @@ def cut_deltas(cuts: DataFrame, frames: DataFrame, *, id: str, out_asset: str, o
     both = sides[0].join(sides[1], id).withColumn("cosine", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine(F.col("_o"), F.col("_i")))))
     grade = F.when(F.col("_o").isNull(), "no_out").when(F.col("_i").isNull(), "no_in").when(F.col("cosine") >= CLEAN, "clean").when(F.col("cosine") >= SOFT, "soft").otherwise("hard")
     return both.select(id, "cosine", grade.alias("grade"))
+
+
+def tag_scores(df: DataFrame, id: str, vector: str, tags: DataFrame, tag: str, most_tags: int = 10_000) -> DataFrame:
+    """Rows (id, tag, cosine) of every row with every tag (tag, vector); tags are checked to be few and go along with each row as one array. Unusable vectors give nothing."""
+    few = tags.select(tag, F.col("vector").alias("w")).limit(most_tags + 1).collect()
+    if len(few) > most_tags:
+        raise ValueError(f"more than {most_tags} tags")
+    table = df.sparkSession.createDataFrame(few, tags.select(tag, F.col("vector").alias("w")).schema).agg(F.collect_list(F.struct(tag, "w")).alias("tags"))
+    rows = df.where(usable_vector(F.col(vector))).select(id, vector).join(F.broadcast(table), F.lit(True))  # one row of at most most_tags
+    scored = rows.select(id, F.explode(F.transform("tags", lambda t: F.struct(t[tag].alias(tag), cosine(F.col(vector), t["w"]).alias("cosine")))).alias("t"))
+    return scored.select(id, f"t.{tag}", "t.cosine").where("cosine IS NOT NULL")
+
+
+def density_clusters(df: DataFrame, id: str, vector: str, *, least: float = 0.6, least_neighbours: int = 5, least_size: int = 10, neighbours: int = 30) -> DataFrame:
+    """Rows (id, cluster): dense groups of vectors, named by their smallest id; null for noise.
+
+    A vector with ``least_neighbours`` others of cosine ``least`` is a core. Cores that are among each other's
+    ``neighbours`` most similar at that cosine belong together, all linked ones are a group, and a vector that is no core
+    joins its most similar core. Groups under ``least_size`` are noise. Neighbours are found exactly, in blocks.
+    """
+    rows = df.where(usable_vector(F.col(vector)) & F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(vector).alias("v"))
+    near = cosine_top_k_each(rows, "id", "v", rows.select(F.col("id").alias("q_id"), F.col("v").alias("q")), "q_id", "q", neighbours, apart=("q_id", "id"))
+    near = cut_lineage(near.where(F.col("cosine") >= least).select("q_id", "id", "cosine"))
+    core = near.groupBy("q_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_neighbours).select(F.col("q_id").alias("core"))
+    links = near.join(core, near["q_id"] == core["core"], "left_semi").join(core.withColumnRenamed("core", "c2"), F.col("id") == F.col("c2"), "left_semi")
+    groups = cut_lineage(components(links.union(core.select("core", "core", F.lit(1.0))), "q_id", "id"))
+    edge = near.join(core, near["q_id"] == core["core"], "left_anti").join(groups.withColumnRenamed("id", "g"), F.col("id") == F.col("g"))
+    edge = edge.groupBy("q_id").agg(F.max_by("component", F.struct("cosine", "component")).alias("component")).select(F.col("q_id").alias("id"), "component")
+    every = groups.select("id", "component").union(edge)
+    big = every.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= least_size).select("component")
+    return rows.select("id").join(every.join(big, "component", "left_semi"), "id", "left").select(F.col("id").alias(id), F.col("component").alias("cluster"))
