@@ -11,6 +11,7 @@ from fieldreel.functions import classify, columns, generators
 from fieldreel.functions.python import text_score
 from fieldreel.operators import entities, graph, islands, joins, ranking, search, similarity
 from fieldreel.operators.intervals import whole_ms
+from fieldreel.operators.timestamps import DAY_US, to_utc
 from fieldreel.plans import quality
 from fieldreel.session import read
 from fieldreel.sources import files
@@ -626,7 +627,13 @@ def g7(a):
     return a.select("asset_id", F.explode(generators.cadence(F.col("duration_sec"), 7.0)).alias("t")).distinct()
 
 
-@_query("g11_speech_without_music", None, "segment", "audio_event")
+@_query(
+    "g11_speech_without_music",
+    """WITH r AS (SELECT 'own' AS k, asset_id, CAST(round(start_sec * 1000) AS BIGINT) AS s, CAST(round(end_sec * 1000) AS BIGINT) AS e FROM segment UNION ALL SELECT 'hole', asset_id, CAST(round(window_start_sec * 1000) AS BIGINT), CAST(round(window_end_sec * 1000) AS BIGINT) FROM audio_event WHERE tag = 'music'),
+    g AS (SELECT *, max(e) OVER (PARTITION BY k, asset_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM r WHERE asset_id IS NOT NULL AND s < e), i AS (SELECT *, sum(CAST(m IS NULL OR s > m AS INTEGER)) OVER (PARTITION BY k, asset_id ORDER BY s, e) AS n FROM g),
+    p AS (SELECT k, asset_id, min(s) AS s, max(e) AS e FROM i GROUP BY k, asset_id, n), b AS (SELECT asset_id, s AS t, CAST(k = 'own' AS INTEGER) AS i, CAST(k = 'hole' AS INTEGER) AS o FROM p UNION ALL SELECT asset_id, e, -CAST(k = 'own' AS INTEGER), -CAST(k = 'hole' AS INTEGER) FROM p),
+    d AS (SELECT asset_id, t, sum(i) AS i, sum(o) AS o FROM b GROUP BY ALL), w AS (SELECT asset_id, t, sum(i) OVER x AS i, sum(o) OVER x AS o, lead(t) OVER x AS u FROM d WINDOW x AS (PARTITION BY asset_id ORDER BY t)) SELECT asset_id, t AS start, u AS "end" FROM w WHERE i > 0 AND o = 0 AND u - t >= 500""", "segment", "audio_event",
+)
 def g11(s, e):
     spans = s.select("asset_id", whole_ms(F.col("start_sec")).alias("s"), whole_ms(F.col("end_sec")).alias("e"))
     holes = e.where("tag = 'music'").select("asset_id", whole_ms(F.col("window_start_sec")).alias("s"), whole_ms(F.col("window_end_sec")).alias("e"))
@@ -635,6 +642,13 @@ def g11(s, e):
 
 # --- search, vectors, graphs
 
+_NORMAL = r"trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+
+# The 64 little-endian floats of a blob that is of that length, finite and not all zero.
+_FLOATS = """SELECT {key}, list_transform(b, lambda u: CASE WHEN u & 2147483647 = 0 THEN 0.0 ELSE (CASE WHEN u >= 2147483648 THEN -1 ELSE 1 END) * (CASE WHEN (u >> 23) & 255 = 0 THEN (u & 8388607) * pow(2.0, -149) ELSE (1 + (u & 8388607) / 8388608.0) * pow(2.0, ((u >> 23) & 255) - 127) END) END) AS v
+  FROM (SELECT {key}, list_transform(range(0, 64), lambda i: CAST('0x' || substr(h, i * 8 + 7, 2) || substr(h, i * 8 + 5, 2) || substr(h, i * 8 + 3, 2) || substr(h, i * 8 + 1, 2) AS BIGINT)) AS b FROM (SELECT DISTINCT {key}, hex({blob}) AS h FROM {table} WHERE octet_length({blob}) = 256))
+  WHERE len(list_filter(b, lambda u: (u >> 23) & 255 = 255)) = 0 AND len(list_filter(b, lambda u: u & 2147483647 <> 0)) > 0"""
+
 _WORDS = r"SELECT doc_id AS doc, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), lambda w: true) AS w FROM (SELECT DISTINCT doc_id, text FROM documents WHERE trim(text) <> '')"
 
 
@@ -723,7 +737,10 @@ def v27(p):
     return graph.cycles(p, "id", "parent_id")
 
 
-@_query("u8_resolved_merges", None, "places")
+@_query(
+    "u8_resolved_merges",
+    "WITH RECURSIVE st AS (SELECT id, min(parent_id) AS t FROM places WHERE id IS NOT NULL AND parent_id IS NOT NULL AND id <> parent_id GROUP BY 1), r(id, cur) AS (SELECT id, t FROM st UNION SELECT r.id, st.t FROM r JOIN st ON r.cur = st.id) SELECT id, cur AS final FROM r WHERE cur NOT IN (SELECT id FROM st)", "places",
+)
 def u8(p):
     return graph.resolve_merges(p, "id", "parent_id")
 
@@ -745,7 +762,10 @@ def j27(p):
     return entities.fuzzy_matches(p.select(F.col("id").alias("row"), "canonical_name").distinct(), "row", "canonical_name", p.select("id", "canonical_name").distinct(), "id", "canonical_name")
 
 
-@_query("j41_aliases", None, "places")
+@_query(
+    "j41_aliases",
+    f"WITH k AS (SELECT DISTINCT e, {_NORMAL.format('a')} AS a FROM (SELECT id AS e, unnest(aliases) AS a FROM places)), kk AS (SELECT * FROM k WHERE a <> ''), q AS (SELECT DISTINCT id AS row, {_NORMAL.format('canonical_name')} AS q FROM places WHERE regexp_matches(lower(canonical_name), '[a-z0-9]')), x AS (SELECT row, count(DISTINCT e) AS n, min(e) AS e FROM q JOIN kk ON q = a GROUP BY 1), t AS (SELECT row, unnest(list_distinct(string_split(q, ' '))) AS t, len(list_distinct(string_split(q, ' '))) AS need FROM q WHERE row NOT IN (SELECT row FROM x)), kt AS (SELECT DISTINCT e, unnest(string_split(a, ' ')) AS t FROM kk), al AS (SELECT row, e FROM t JOIN kt USING (t) GROUP BY row, e HAVING count(DISTINCT t) = max(need)), y AS (SELECT row, count(*) AS n, min(e) AS e FROM al GROUP BY 1), f AS (SELECT * FROM x UNION ALL SELECT * FROM y) SELECT row, CASE WHEN n = 1 THEN e END AS id, coalesce(n, 0) AS n FROM q LEFT JOIN f USING (row)", "places",
+)
 def j41(p):
     return entities.resolve_aliases(p.select(F.col("id").alias("row"), "canonical_name").distinct(), "row", "canonical_name", p.select("id", "aliases").distinct(), "id", "aliases")
 
@@ -761,7 +781,10 @@ def q10(s):
     return search_transcript({"segment": s.distinct()}, "tents ticket").withColumn("score", F.round("score", 6))
 
 
-@_query("q11_similar_transcript_windows", None, "transcript_window_embedding")
+@_query(
+    "q11_similar_transcript_windows",
+    f"WITH w AS ({_FLOATS.format(key='id, run_id, asset_id', blob='vector_blob', table='transcript_window_embedding')}), l AS (SELECT * FROM w WHERE run_id = (SELECT max(run_id) FROM transcript_window_embedding)), s AS (SELECT q.id AS q_id, l.id, l.asset_id, list_cosine_similarity(l.v, q.v) AS cosine FROM w q, l WHERE q.id % 50 = 0) SELECT q_id, id, asset_id, round(cosine, 4) AS cosine, row_number() OVER (PARTITION BY q_id ORDER BY round(cosine, 9) DESC, id) AS rank FROM s QUALIFY rank <= 25", "transcript_window_embedding",
+)
 def q11(w):
     from fieldreel.plans.composers import similar_transcript_windows_each
 
@@ -770,17 +793,23 @@ def q11(w):
     return similar_transcript_windows_each(rows, queries).withColumn("cosine", F.round("cosine", 4))
 
 
-@_query("q12_visually_similar", None, "clip_embeddings", "semantic_chunks")
+@_query(
+    "q12_visually_similar",
+    f"WITH w AS ({_FLOATS.format(key='embedding_pk, chunk_id', blob='vector_blob', table='clip_embeddings')}), u AS (SELECT chunk_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM w), g AS (SELECT chunk_id, i, avg(x) AS x FROM u GROUP BY ALL), o AS (SELECT chunk_id, min(parent_asset_id) AS asset_id FROM semantic_chunks WHERE chunk_id IS NOT NULL GROUP BY 1), m AS (SELECT chunk_id, asset_id, list(x ORDER BY i) AS v FROM g JOIN o USING (chunk_id) GROUP BY ALL), s AS (SELECT q.chunk_id AS q_id, m.chunk_id, m.asset_id, list_cosine_similarity(m.v, q.v) AS cosine FROM m q, m WHERE CAST('0x' || right(q.chunk_id, 4) AS INTEGER) % 50 = 0 AND q.chunk_id <> m.chunk_id) SELECT q_id, chunk_id, asset_id, round(cosine, 4) AS cosine, row_number() OVER (PARTITION BY q_id ORDER BY round(cosine, 9) DESC, chunk_id) AS rank FROM s QUALIFY rank <= 20", "clip_embeddings", "semantic_chunks",
+)
 def q12(k, c):
     from fieldreel.plans.composers import visually_similar_each
 
-    seeds = c.where("chunk_id IS NOT NULL").select("chunk_id").distinct().where(F.pmod(F.xxhash64("chunk_id"), F.lit(50)) == 0)
+    seeds = c.where("chunk_id IS NOT NULL").select("chunk_id").distinct().where(F.conv(F.right("chunk_id", F.lit(4)), 16, 10).cast("int") % 50 == 0)
     return visually_similar_each(_vectors(k, "embedding_pk", "vector_blob", ["chunk_id"]), c, seeds).withColumn("cosine", F.round("cosine", 4))
 
 
-@_query("q14_chunk_means", None, "clip_embeddings")
+@_query(
+    "q14_chunk_means",
+    f"WITH w AS ({_FLOATS.format(key='embedding_pk, chunk_id', blob='vector_blob', table='clip_embeddings')}), u AS (SELECT chunk_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM w WHERE chunk_id IS NOT NULL), g AS (SELECT chunk_id, i, avg(x) AS x, count(*) AS n FROM u GROUP BY ALL) SELECT chunk_id, max(n) AS n, round(max(x) FILTER (i = 1), 4) AS first, round(sqrt(sum(x * x)), 4) AS length FROM g GROUP BY 1", "clip_embeddings",
+)
 def q14(k):
-    return similarity.group_means(_vectors(k, "embedding_pk", "vector_blob", ["chunk_id"]), "chunk_id", "vector").select("chunk_id", "n")
+    return similarity.group_means(_vectors(k, "embedding_pk", "vector_blob", ["chunk_id"]), "chunk_id", "vector").select("chunk_id", "n", F.round(F.col("vector")[0], 4).alias("first"), F.round(columns.norm(F.col("vector")), 4).alias("length"))
 
 
 @_query("v8_cut_deltas", None, "clip_embeddings", "semantic_chunks")
@@ -801,10 +830,14 @@ def q8(a):
     return search_broll({"asset": a, "asset_semantic_chunk": chunk}, location="trail").select("asset_id", "shoot_date")
 
 
-@_query("q20_boundary_distance", None, "audio_event", "segment")
+@_query(
+    "q20_boundary_distance",
+    "WITH st AS (SELECT DISTINCT asset_id, event_pk, window_start_sec AS at FROM audio_event WHERE window_start_sec IS NOT NULL AND asset_id IS NOT NULL), d AS (SELECT st.event_pk, min(abs(s.end_sec - st.at)) AS d FROM st JOIN segment s ON s.asset_id = st.asset_id AND s.end_sec IS NOT NULL GROUP BY 1), o AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i, count(*) OVER () AS n FROM d) SELECT round(max(d) FILTER (i = least(CAST(floor(n * 0.5) AS BIGINT), n - 1)), 6) AS p50, round(max(d) FILTER (i = least(CAST(floor(n * 0.9) AS BIGINT), n - 1)), 6) AS p90, any_value(n) AS n, round(avg(CAST(d <= 0.5 AS INTEGER)), 6) AS share_within FROM o", "audio_event", "segment",
+)
 def q20(e, s):
     starts = e.select("asset_id", F.col("event_pk").alias("id"), F.col("window_start_sec").alias("at")).distinct()
-    return quality.distance_summary(quality.boundary_distance(starts, s.select("asset_id", F.col("end_sec").alias("at"))))
+    found = quality.distance_summary(quality.boundary_distance(starts, s.select("asset_id", F.col("end_sec").alias("at"))))
+    return found.select(F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90"), "n", F.round("share_within", 6).alias("share_within"))
 
 
 @_query(
@@ -825,9 +858,12 @@ def q24(s):
 
 @_query("v18_same_kind_links", None, "segment", "asset")
 def v18(s, a):
-    """Pairs of recordings of one kind, day and label whose speech is alike."""
+    """Pairs of recordings of one kind, thirty days and label whose speech is alike."""
     text = s.where("text IS NOT NULL").select("asset_id", "seg_idx", "text").distinct().groupBy("asset_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", "text"))), lambda x: x["text"]), " ").alias("text"))
-    rows = a.select("asset_id", "record_kind", "shoot_date", "shoot_label").dropna().distinct().join(text, "asset_id")
+    day = to_utc(a.select("asset_id", "record_kind", "shoot_date", "shoot_label", F.lit(None).cast("string").alias("zone")).distinct(), "shoot_date", "zone")
+    # exploding drops nulls; a filter would inline the parsing into itself
+    day = day.select("asset_id", "record_kind", "shoot_label", F.explode(F.array_compact(F.array("utc_us"))).alias("us"))
+    rows = day.select("asset_id", "record_kind", F.floor(F.col("us") / (30 * DAY_US)).alias("shoot_date"), "shoot_label").distinct().where("record_kind IS NOT NULL AND shoot_label IS NOT NULL").join(text, "asset_id")
     rows = rows.withColumn("words", columns.tokens(F.col("text"))).withColumn("plain", F.array_join("words", " "))
     pairs = joins.block_pairs(rows.select("asset_id", "record_kind", "shoot_date", "shoot_label", "words", "plain"), ["record_kind", "shoot_date", "shoot_label"], "asset_id")
     same = columns.jaccard(F.array_distinct("a.words"), F.array_distinct("b.words"))
