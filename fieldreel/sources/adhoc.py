@@ -22,6 +22,8 @@ def ask(spark: SparkSession, schemas: dict[str, dict[str, DataFrame]], sql: str)
     used: dict[str, DataFrame] = {}
 
     def bind(match: re.Match) -> str:
+        if match["quoted"]:
+            return match[0].replace("{", "{{").replace("}", "}}")
         schema, table = match["schema"], match["table"]
         if schema is None and len(owners.get(table, [])) == 1:
             schema = owners[table][0]
@@ -33,7 +35,7 @@ def ask(spark: SparkSession, schemas: dict[str, dict[str, DataFrame]], sql: str)
         return f"{match['before']}{{{name}}}{alias}{match['alias'] or ''}"
 
     words = r"WHERE|JOIN|LEFT|RIGHT|FULL|INNER|CROSS|ON|USING|GROUP|ORDER|LIMIT|UNION|HAVING|SEMI|ANTI|NATURAL|EXCEPT|INTERSECT"
-    table = rf"(?i)(?P<before>\b(?:FROM|JOIN)\s+)(?:(?P<schema>\w+)\.)?(?P<table>\w+)(?P<alias>\s+(?:AS\s+)?(?!(?:{words})\b)[a-z_]\w*)?"
+    table = rf"(?i)(?P<quoted>'(?:[^']|'')*'|\"[^\"]*\"|--[^\n]*)|(?P<before>\b(?:FROM|JOIN)\s+)(?:(?P<schema>\w+)\.)?(?P<table>\w+)(?P<alias>\s+(?:AS\s+)?(?!(?:{words})\b)[a-z_]\w*)?"
     return spark.sql(re.sub(table, bind, sql), **used)
 
 
