@@ -79,9 +79,34 @@ UNION ALL SELECT store, asset_id, 'gap', m, s FROM reach WHERE s > m AND s - m <
 """
 
 
+_MONTHS = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+_TAIL = r"(?:(?:\s*t\s*|,?\s+|:)(\d{1,2}):?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?(?:\s*([ap])\.?m\b\.?)?)?\s*(z|[+-]\d{1,2}(?::?\d{2})?)?\s*(?:\[([^\]]+)\]|\(?([a-z][a-z0-9_+/-]*)\)?)?"
+_WAYS = (
+    (r"(\d{4})([-:/.])(\d{1,2})([-:/.])(\d{1,2})", "'y', 'a', 'm', 'b', 'd'"), (r"(\d{4})()(\d{2})()(\d{2})", "'y', 'a', 'm', 'b', 'd'"), (r"()()(\d{1,2})/(\d{1,2})/(\d{4})", "'a', 'b', 'm', 'd', 'y'"), (r"()()(\d{1,2})\.(\d{1,2})\.(\d{4})", "'a', 'b', 'd', 'm', 'y'"),
+    (rf"()()({_MONTHS})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})", "'a', 'b', 'm', 'd', 'y'"), (rf"()()(?:[a-z]+,?\s+)?(\d{{1,2}})(?:st|nd|rd|th)?\.?[\s-]({_MONTHS})\.?,?[\s-](\d{{4}})", "'a', 'b', 'd', 'm', 'y'"),
+)
+_MOMENTS = rf"""raw AS (
+  SELECT DISTINCT 'asset' AS store, field, asset_id, camera_id, value FROM (SELECT asset_id, camera_id, unnest(['primary_timeline_date', 'shoot_date']) AS field, unnest([primary_timeline_date, shoot_date]) AS value FROM asset)
+  UNION SELECT 'semantic_stills', 'shoot_date', asset_id, camera_id, shoot_date FROM semantic_stills
+), t AS (SELECT store, field, asset_id, camera_id, value, regexp_replace(value, '^[\s\x{{a0}}\x{{feff}}\x{{200b}}]+|[\s\x{{a0}}\x{{feff}}\x{{200b}}]+$', '', 'g') AS v FROM raw WHERE value IS NOT NULL),
+p AS ({" UNION ALL ".join(rf"SELECT store, field, asset_id, camera_id, value, v, {k} AS way, g.y, g.a, g.m, g.b, g.d, g.h, g.mi, g.s, g.f, g.ap, g.o, g.zb, g.zn FROM (SELECT *, regexp_extract(v, '^{date}{_TAIL}$', [{names}, 'h', 'mi', 's', 'f', 'ap', 'o', 'zb', 'zn'], 'i') AS g FROM t WHERE regexp_matches(v, '^{date}{_TAIL}$', 'i'))" for k, (date, names) in enumerate(_WAYS))}),
+q AS (SELECT * FROM p WHERE a = b QUALIFY row_number() OVER (PARTITION BY store, field, asset_id, camera_id, value ORDER BY way) = 1),
+n AS (SELECT *, CAST(y AS INTEGER) AS yy, CASE WHEN regexp_matches(m, '^\d') THEN CAST(m AS INTEGER) ELSE list_position(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'], left(lower(m), 3)) END AS mm, CAST(d AS INTEGER) AS dd, coalesce(TRY_CAST(h AS INTEGER), 0) AS h0, coalesce(TRY_CAST(mi AS INTEGER), 0) AS mn, coalesce(TRY_CAST(s AS INTEGER), 0) AS ss, lower(ap) AS half, replace(lower(o), ':', '') AS off, CASE WHEN zb <> '' THEN zb ELSE zn END AS zname FROM q),
+l AS (SELECT *, CASE WHEN h0 <= 23 AND mn <= 59 AND ss <= 59 AND (half = '' OR h0 BETWEEN 1 AND 12) THEN TRY_CAST(format('{{:04d}}-{{:02d}}-{{:02d}} {{:02d}}:{{:02d}}:{{:02d}}', yy, mm, dd, CASE WHEN half = '' THEN h0 ELSE h0 % 12 + CASE WHEN half = 'p' THEN 12 ELSE 0 END END, mn, ss) AS TIMESTAMP) END AS wall, CASE WHEN f <> '' THEN TRY_CAST(rpad(left(f, 6), 6, '0') AS BIGINT) ELSE 0 END AS us, (SELECT min(clock_zone) FROM camera_clock c WHERE c.camera_id = n.camera_id) AS clock FROM n),
+z AS (SELECT *, CASE WHEN off = 'z' THEN 0 WHEN off <> '' THEN (CASE WHEN left(off, 1) = '-' THEN -1 ELSE 1 END) * CASE WHEN length(off) <= 3 THEN CAST(off[2:] AS INTEGER) * 60 ELSE CAST(off[2:length(off) - 2] AS INTEGER) * 60 + CAST(right(off, 2) AS INTEGER) END
+    ELSE CASE lower(zname) WHEN 'utc' THEN 0 WHEN 'gmt' THEN 0 WHEN 'z' THEN 0 WHEN 'est' THEN -300 WHEN 'edt' THEN -240 WHEN 'cst' THEN -360 WHEN 'cdt' THEN -300 WHEN 'mst' THEN -420 WHEN 'mdt' THEN -360 WHEN 'pst' THEN -480 WHEN 'pdt' THEN -420 WHEN 'cet' THEN 60 WHEN 'cest' THEN 120 END END AS minutes,
+    CASE WHEN zname = '' THEN coalesce(clock, 'UTC') WHEN contains(zname, '/') THEN zname END AS zone FROM l WHERE wall IS NOT NULL),
+i AS (SELECT *, CASE WHEN minutes IS NULL AND zone IS NOT NULL THEN timezone(zone, wall) END AS inst FROM z),
+found AS (
+  SELECT store, field, asset_id, CASE WHEN minutes IS NOT NULL THEN CASE WHEN abs(minutes) <= 1080 THEN epoch_us(wall) - CAST(minutes AS BIGINT) * 60000000 + us END WHEN timezone(zone, inst - INTERVAL 1 HOUR) = wall THEN epoch_us(inst) - 3600000000 + us ELSE epoch_us(inst) + us END AS utc_us FROM i
+  UNION SELECT store, field, asset_id, TRY_CAST(rpad(v, 16, '0') AS BIGINT) FROM t WHERE regexp_full_match(v, '\d{{10}}|\d{{13}}|\d{{16}}')
+)"""
+_P2 = f"WITH {_MOMENTS} SELECT DISTINCT store, field, asset_id, utc_us FROM found WHERE utc_us IS NOT NULL"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"p2_found": p2_found, "p2_zones": p2_zones, "p2_recovered": p2_recovered, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": _P6}
+    return {"p2_found": _P2, "p6_found": _P6}
