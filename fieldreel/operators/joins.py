@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from fieldreel.functions.columns import overlap
 from fieldreel.session import steady
 
+#: Stretches that one interval may span.
+MOST_STRETCHES = 1_000_000
+
 
 def _stretch(c: Column, width: float) -> Column:
     return F.floor(c / width).cast("bigint")
 
 
+def _cells(a: Column, b: Column, width: float) -> Column:
+    """The stretches from a to b; an interval over more than ``MOST_STRETCHES`` is an error, as one corrupt bound would else fill a task."""
+    first, last = _stretch(a, width), _stretch(b, width)
+    return F.when(last - first > MOST_STRETCHES, F.raise_error(F.lit(f"an interval spans more than {MOST_STRETCHES} stretches; take a greater width"))).otherwise(F.sequence(first, last))
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: str, l: tuple[str, str], r: tuple[str, str], *, width: float, half_open: bool = False, tolerance: float = 0.0) -> DataFrame:  # noqa: E741
     """Rows of both sides with one ``on`` whose intervals overlap; touching counts unless ``half_open``.
 
@@ -23,8 +32,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, l: tuple[str, str]
     a, b = (F.col(x) for x in l)
     c, d = F.col(r[0]) - tolerance, F.col(r[1]) + tolerance
     lo, hi = left.where(a <= b), right.where(c <= d)
-    lo = lo.withColumn("_l", _stretch(a, width)).withColumn("_s", F.explode(F.sequence(_stretch(a, width), _stretch(b, width))))
-    hi = hi.withColumn("_r", _stretch(c, width)).withColumn("_s", F.explode(F.sequence(_stretch(c, width), _stretch(d, width))))
+    lo = lo.withColumn("_l", _stretch(a, width)).withColumn("_s", F.explode(_cells(a, b, width)))
+    hi = hi.withColumn("_r", _stretch(c, width)).withColumn("_s", F.explode(_cells(c, d, width)))
     meets = (a < d) & (b > c) if half_open else (a <= d) & (b >= c)
     return lo.join(hi, [on, "_s"]).where(meets & (F.col("_s") == F.greatest("_l", "_r"))).drop("_s", "_l", "_r")
 
@@ -60,7 +69,7 @@ def nearest(left: DataFrame, right: DataFrame, on: str, at: str, key: str, momen
 
 def covered_seconds(df: DataFrame, start: str, end: str, out: str = "second") -> DataFrame:
     """One row for each whole second that an interval touches."""
-    return df.where(F.col(start) <= F.col(end)).withColumn(out, F.explode(F.sequence(F.col(start).cast("bigint"), F.col(end).cast("bigint"))))
+    return df.where(F.col(start) <= F.col(end)).withColumn(out, F.explode(_cells(F.col(start), F.col(end), 1.0)))
 
 
 def block_pairs(df: DataFrame, keys: list[str], id: str) -> DataFrame:
@@ -72,10 +81,13 @@ def block_pairs(df: DataFrame, keys: list[str], id: str) -> DataFrame:
 def sorted_neighbours(df: DataFrame, value: str, id: str, reach: int = 24) -> DataFrame:
     """Pairs (a, b, value_a, value_b) of rows at most ``reach`` apart in the order of ``value`` that begin with the same letter.
 
-    Rows are numbered within their first letter. Only rows whose number lies in a neighbouring block meet.
+    Rows are numbered within the first letters of their value, and counted on from the letters before; so no task orders
+    all rows of a letter. Only rows whose number lies in a neighbouring block meet.
     """
-    order = Window.partitionBy("_f").orderBy("v", "i")
-    rows = df.where(F.length(value) > 0).select(F.left(value, F.lit(1)).alias("_f"), F.col(value).alias("v"), F.col(id).alias("i")).withColumn("n", F.row_number().over(order))
+    rows = df.where(F.length(value) > 0).select(F.left(value, F.lit(1)).alias("_f"), F.left(value, F.lit(4)).alias("_g"), F.col(value).alias("v"), F.col(id).alias("i"))
+    before = Window.partitionBy("_f").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_f", "_g").agg(F.count("*").alias("_c")).select("_f", "_g", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_f", "_g").orderBy("v", "i"))).join(offsets, ["_f", "_g"]).select("_f", "v", "i", (F.col("_r") + F.col("_o")).alias("n"))
     left = rows.select("_f", F.col("i").alias("a"), F.col("v").alias("value_a"), F.col("n").alias("na"), F.explode(F.array(F.floor(F.col("n") / reach), F.floor(F.col("n") / reach) + 1)).alias("_k"))
     right = rows.select("_f", F.col("i").alias("b"), F.col("v").alias("value_b"), F.col("n").alias("nb"), F.floor(F.col("n") / reach).alias("_k"))
     return left.join(right, ["_f", "_k"]).where((F.col("nb") > F.col("na")) & (F.col("nb") <= F.col("na") + reach)).select("a", "b", "value_a", "value_b")
