@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldreel.functions.columns import normalise, normalised_distance, phonetic_key
 from fieldreel.functions.python import alike_pairs, fold
 from fieldreel.operators.ranking import top_k_per
-from fieldreel.session import steady
+from fieldreel.session import cut_lineage, steady
 
 # About as many distinct names are in a block when all meet all.
 BLOCK = 2_000
@@ -47,16 +47,36 @@ def contains_matches(df: DataFrame, id: str, text: str, phrases: DataFrame, phra
 
 
 def resolve_aliases(df: DataFrame, id: str, name: str, registry: DataFrame, entity: str, aliases: str) -> DataFrame:
-    """Rows (id, entity, n): an alias of one entity resolves to it; else the entities that hold all of the name's words in their aliases. ``entity`` is null unless n is 1."""
+    """Rows (id, entity, n): an alias of one entity resolves to it; else the entities that hold all of the name's words in their aliases. ``entity`` is null unless n is 1.
+
+    Equal names are asked once and entities of equal aliases count together. A name meets the entities of its rarest word
+    only, and the others are looked up in their words there, so common words make no pairs. An id of several names meets
+    those of so many rare words that its shortest name can't be held without one of them.
+    """
     steady(df.sparkSession)
     known = registry.select(F.col(entity).alias("_e"), F.explode(aliases).alias("_a")).select("_e", normalise(F.col("_a")).alias("_a")).where("_a <> ''").distinct()
     asks = df.select(F.col(id), normalise(F.col(name)).alias("_q")).where("_q <> ''").distinct()
-    exact = asks.join(known, F.col("_q") == F.col("_a")).groupBy(id).agg(F.countDistinct("_e").alias("n"), F.min("_e").alias("_e"))
-    rest = asks.join(exact, id, "left_anti").select(id, "_q", F.explode(F.array_distinct(F.split("_q", " "))).alias("_t"), F.size(F.array_distinct(F.split("_q", " "))).alias("_need"))
-    tokens = known.select("_e", F.explode(F.array_distinct(F.split("_a", " "))).alias("_t")).distinct()
-    all_words = rest.join(tokens, "_t").groupBy(id, "_e").agg(F.countDistinct("_t").alias("_held"), F.max("_need").alias("_need")).where("_held = _need")
-    by_words = all_words.groupBy(id).agg(F.count("*").alias("n"), F.min("_e").alias("_e"))
-    found = exact.unionByName(by_words)
+    names = cut_lineage(asks.groupBy(id).agg(F.array_sort(F.collect_set("_q")).alias("_names")))
+    # the least entity names a class; a null one stands for no entity among exact aliases, and for one among words
+    alike = known.groupBy("_e").agg(F.array_sort(F.collect_set("_a")).alias("_as")).groupBy("_as").agg(F.count("_e").alias("_k"), F.count("*").alias("_all"), F.min("_e").alias("_e"))
+    alike = cut_lineage(alike)
+    asked = names.select("_names").distinct()
+    exact = asked.select("_names", F.explode("_names").alias("_a")).join(alike.select("_e", "_k", F.explode("_as").alias("_a")), "_a").select("_names", "_e", "_k").distinct()
+    exact = cut_lineage(exact.groupBy("_names").agg(F.sum("_k").alias("n"), F.min("_e").alias("_e")))
+    words = lambda c: F.array_sort(F.array_distinct(F.split(c, " ")))
+    rest = cut_lineage(asked.join(exact, "_names", "left_anti").select("_names", F.array_sort(F.array_distinct(F.transform("_names", words))).alias("_words")))
+    held = alike.withColumn("_held", F.array_sort(F.array_distinct(F.flatten(F.transform("_as", lambda a: F.split(a, " ")))))).groupBy("_held").agg(F.sum("_all").alias("_all"), F.min("_e").alias("_e"))
+    tokens = held.select("_held", "_all", "_e", F.explode("_held").alias("_t"))
+    often = tokens.groupBy("_t").agg(F.count("*").alias("_m"))
+    each = rest.select("_words").distinct().select("_words", F.explode(F.array_distinct(F.flatten("_words"))).alias("_t")).join(often, "_t", "left")
+    rare = each.groupBy("_words").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_m", F.lit(0)).alias("_m"), "_t"))).alias("_r"))
+    least = F.array_min(F.transform("_words", lambda w: F.size(w)))
+    rare = rare.select("_words", F.transform(F.slice("_r", F.lit(1), F.size("_r") - least + 1), lambda x: x["_t"]).alias("_rare"))
+    met = rare.select("_words", "_rare", F.explode("_rare").alias("_t")).join(tokens, "_t")
+    need = F.array_max(F.transform("_words", lambda w: F.when(F.arrays_overlap(w, "_held"), F.size(w))))
+    met = met.where(F.array_intersect("_rare", "_held")[0] == F.col("_t")).where(F.size(F.array_intersect(F.flatten("_words"), "_held")) == need)
+    by_words = rest.join(met.groupBy("_words").agg(F.sum("_all").alias("n"), F.min("_e").alias("_e")), "_words").select("_names", "n", "_e")
+    found = names.join(exact.unionByName(by_words), "_names").select(id, "n", "_e")
     return asks.select(id).join(found, id, "left").select(id, F.when(F.col("n") == 1, F.col("_e")).alias(entity), F.coalesce("n", F.lit(0)).alias("n"))
 
 
