@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+import re
 import unicodedata
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
@@ -191,3 +196,110 @@ def text_score(a: Column, b: Column, jaccard_of: Column, duration_of: Column | N
     base = 0.15 * jaccard_of + 0.35 * ratio(a, b) + 0.45 * substring_boost(a, b)
     full = base if duration_of is None else base + 0.05 * duration_of
     return F.when((F.length(a) > 0) & (F.length(b) > 0), full).otherwise(F.lit(0.0))
+
+
+class Blocks:
+    """Longest matching blocks of texts with one text, the very ones that difflib's SequenceMatcher(None, x, y) finds.
+
+    From 200 letters on it begins blocks at rare letters only, of which no more than one in a hundred is the same. They
+    are looked up here by runs of such letters, so the time grows with their number and not with its square.
+    """
+
+    def __init__(self, y: str) -> None:
+        self.y, self.grams, self.matcher, self.rare = y, None, None, None
+        if len(y) >= 200:
+            chars = "".join(c for c, k in Counter(y).items() if k <= len(y) // 100 + 1)
+            self.rare = re.compile(f"[{re.escape(chars)}]+" if chars else r"(?!)")
+            runs = [m.span() for m in self.rare.finditer(y)]
+            longest = max((end - start for start, end in runs), default=0)
+            if longest <= 64:  # of longer ones, all parts would be too many
+                self.grams = [{} for _ in range(longest)]
+                for start, end in runs:
+                    for n in range(1, end - start + 1):
+                        for j in range(start, end - n + 1):
+                            self.grams[n - 1].setdefault(y[j : j + n], []).append(j)
+        if self.grams is None:
+            self.matcher = SequenceMatcher(None, "", y)
+
+    def finder(self, x: str) -> Callable[[int, int, int, int], tuple[int, int, int]]:
+        """find_longest_match of x and the text."""
+        if self.grams is None:
+            self.matcher.set_seq1(x)
+            return self.matcher.find_longest_match
+        y, grams = self.y, self.grams
+        starts: list[list[int]] = []
+        for run in self.rare.finditer(x):
+            start, end = run.span()
+            for n in range(1, min(end - start, len(grams)) + 1):
+                hits = [i for i in range(start, end - n + 1) if x[i : i + n] in grams[n - 1]]
+                if not hits:
+                    break
+                if len(starts) < n:
+                    starts.append([])
+                starts[n - 1] += hits
+
+        def find(alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+            i, j, size = alo, blo, 0
+            for n in range(len(starts), 0, -1):
+                at = starts[n - 1]
+                for k in range(bisect_left(at, alo), len(at)):
+                    if at[k] + n > ahi:
+                        break
+                    places = grams[n - 1][x[at[k] : at[k] + n]]
+                    h = bisect_left(places, blo)
+                    if h < len(places) and places[h] + n <= bhi:
+                        i, j, size = at[k], places[h], n
+                        break
+                if size:
+                    break
+            while i > alo and j > blo and x[i - 1] == y[j - 1]:
+                i, j, size = i - 1, j - 1, size + 1
+            while i + size < ahi and j + size < bhi and x[i + size] == y[j + size]:
+                size += 1
+            return i, j, size
+
+        return find
+
+
+def score_from(least: float, x: str, y: Blocks, shared: float) -> float | None:
+    """The ``text_score`` of two texts that share that part of their words, or None where it is below ``least``; bounds mostly say so before all blocks are known."""
+    b = y.y
+    n, total = min(len(x), len(b)), len(x) + len(b)
+    if x == b:
+        return 0.15 * shared + 0.35 + 0.45 if n else None
+    if not n:
+        return None
+    common = 1.0 if x in b or b in x else None
+    if common is None:
+        size = (least - 0.15 * shared - 0.35 * 2 * n / total) / 0.45 * max(8, n) - 1e-6
+        if size > n:
+            return None
+        if size > 1:
+            # a common part of that size holds one of the shorter text's pieces of half of it
+            half = (math.ceil(size) + 1) // 2
+            short, long = (x, b) if len(x) <= len(b) else (b, x)
+            if not any(short[i : i + half] in long for i in range(0, len(short) - half + 1, half)):
+                return None
+    find = y.finder(x)
+    first = find(0, len(x), 0, len(b))
+    if common is None:
+        common = first[2] / max(8, n)
+    need = (least - 0.15 * shared - 0.45 * common) / 0.35 * total / 2 - 1e-6
+    found, left, block, area = 0, n, first, (0, len(x), 0, len(b))
+    areas: list[tuple[int, tuple[int, int, int, int]]] = []
+    while True:
+        i, j, size = block
+        alo, ahi, blo, bhi = area
+        found += size
+        left -= min(ahi - alo, bhi - blo)
+        if size:
+            for part in ((alo, i, blo, j), (i + size, ahi, j + size, bhi)):
+                if (most := min(part[1] - part[0], part[3] - part[2])) > 0:
+                    left += most
+                    heapq.heappush(areas, (-most, part))
+        if found + left < need:
+            return None
+        if not areas:
+            return 0.15 * shared + 0.35 * (2.0 * found / total) + 0.45 * common
+        _, area = heapq.heappop(areas)
+        block = find(*area)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldreel.functions.columns import duration_similarity, jaccard, tokens
 from fieldreel.functions.media import name_tokens
-from fieldreel.functions.python import text_score
+from fieldreel.functions.python import Blocks, score_from, text_score
 from fieldreel.operators.joins import under_folder
 from fieldreel.operators.ranking import margin_gate, top_k_per
+from fieldreel.session import cut_lineage
+
+# About as many texts of a block meet in one task's cell, and so many cells are in a task.
+CELL, CELLS = 64, 100
 
 
 def spoken(df: DataFrame, text: str) -> DataFrame:
@@ -26,6 +32,46 @@ def score_pairs(audio: DataFrame, video: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, on).withColumn("score", like).select("audio_id", "video_id", *on, "score")
 
 
+def alike_in_blocks(df: DataFrame, keys: list[str], id: str, plain: str, least: float) -> DataFrame:
+    """Rows (keys.., a, b, score) of the pairs a < b that share all keys and whose ``text_score`` without durations reaches ``least``. ``plain``: words joined by blanks.
+
+    Equal texts of a block are compared once, and texts travel once for each cell of a block's grid, not for each pair.
+    Rows must differ in keys and id; null keys share nothing, and empty texts are like none.
+    """
+    rows = df.select(*keys, F.col(id).alias("_id"), F.col(plain).alias("_plain")).where("_plain <> ''").dropna(subset=keys)
+    texts = cut_lineage(rows.groupBy(*keys, "_plain").agg(F.min("_id").alias("_t"), F.max("_id").alias("_top"), F.array_sort(F.collect_list("_id")).alias("_ids")))
+    sizes = texts.groupBy(*keys).agg(F.sum(F.size("_ids")).alias("_n"), F.ceil(F.count("*") / CELL).cast("int").alias("_cuts")).where("_n > 1").drop("_n")
+    cells = sizes.agg(F.coalesce(F.sum(F.col("_cuts") * (F.col("_cuts") + 1) / 2), F.lit(0)).cast("bigint").alias("n")).first()["n"]
+    each = texts.drop("_ids").join(sizes, keys).withColumn("_cut", F.pmod(F.xxhash64("_t"), F.col("_cuts")).cast("int"))
+    each = each.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).withColumn("_lo", F.least("_cut", "_other")).withColumn("_hi", F.greatest("_cut", "_other"))
+
+    def scored(key: tuple, texts: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = key[-2:]
+        plains, first, top, cut = (texts[c].tolist() for c in ("_plain", "_t", "_top", "_cut"))
+        words = [set(p.split(" ")) for p in plains]
+        out = []
+        for k, p in enumerate(plains):
+            blocks = Blocks(p) if len(plains) > 1 else None
+            for n, x in enumerate(plains):
+                if n == k:
+                    if lo == hi and first[k] < top[k]:
+                        out.append((first[k], first[k], 0.15 + 0.35 + 0.45))
+                elif (lo == hi or cut[n] != cut[k]) and first[n] < top[k]:
+                    both = len(words[n] & words[k])
+                    score = score_from(least - 1e-9, x, blocks, both / (len(words[n]) + len(words[k]) - both))
+                    if score is not None:
+                        out.append((first[n], first[k], score))
+        return pd.DataFrame(out, columns=["_a", "_b", "score"]).assign(**dict(zip(keys, key))).astype({"score": float})
+
+    kind = rows.schema["_id"].dataType
+    schema = T.StructType([T.StructField("_a", kind), T.StructField("_b", kind), T.StructField("score", T.DoubleType()), *(T.StructField(k, rows.schema[k].dataType) for k in keys)])
+    cell = [*keys, "_lo", "_hi"]
+    found = each.repartition(min(10_000, 1 + cells // CELLS), *cell).groupBy(*cell).applyInPandas(scored, schema)
+    found = found.join(texts.select(*keys, F.col("_t").alias("_a"), F.col("_ids").alias("_as")), [*keys, "_a"]).join(texts.select(*keys, F.col("_t").alias("_b"), F.col("_ids").alias("_bs")), [*keys, "_b"])
+    pairs = found.select(*keys, F.explode("_as").alias("a"), "_bs", "score").select(*keys, "a", F.explode(F.filter("_bs", lambda b: b > F.col("a"))).alias("b"), "score")
+    return pairs.where(F.col("score") >= least)
+
+
 def primary_links(scored: DataFrame, existing: DataFrame, *, least: float = 0.72, margin: float = 0.12) -> DataFrame:
     """Rows (audio_id, video_id, score, action): the best video of each sound, if good and clear enough. ``existing`` (audio_id, primary_id): another primary link is kept, the same one stays."""
     best = margin_gate(scored, ["audio_id"], "score", [F.col("video_id")], least, margin).where("passed").select("audio_id", "video_id", "score")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldreel.functions import classify, columns, generators
-from fieldreel.functions.python import text_score
-from fieldreel.operators import entities, graph, islands, joins, ranking, search, similarity
+from fieldreel.operators import entities, graph, islands, joins, links, ranking, search, similarity
 from fieldreel.operators.intervals import whole_ms
 from fieldreel.operators.timestamps import DAY_US, to_utc
 from fieldreel.plans import quality
@@ -859,15 +858,15 @@ def q24(s):
 @_query("v18_same_kind_links", None, "segment", "asset")
 def v18(s, a):
     """Pairs of recordings of one kind, thirty days and label whose speech is alike."""
-    text = s.where("text IS NOT NULL").select("asset_id", "seg_idx", "text").distinct().groupBy("asset_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", "text"))), lambda x: x["text"]), " ").alias("text"))
+    text = s.where("text IS NOT NULL").select("asset_id", "seg_idx", "text").repartition("asset_id").distinct().groupBy("asset_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", "text"))), lambda x: x["text"]), " ").alias("text"))
     day = to_utc(a.select("asset_id", "record_kind", "shoot_date", "shoot_label", F.lit(None).cast("string").alias("zone")).distinct(), "shoot_date", "zone")
     # exploding drops nulls; a filter would inline the parsing into itself
     day = day.select("asset_id", "record_kind", "shoot_label", F.explode(F.array_compact(F.array("utc_us"))).alias("us"))
     rows = day.select("asset_id", "record_kind", F.floor(F.col("us") / (30 * DAY_US)).alias("shoot_date"), "shoot_label").distinct().where("record_kind IS NOT NULL AND shoot_label IS NOT NULL").join(text, "asset_id")
-    rows = rows.withColumn("words", columns.tokens(F.col("text"))).withColumn("plain", F.array_join("words", " "))
-    pairs = joins.block_pairs(rows.select("asset_id", "record_kind", "shoot_date", "shoot_label", "words", "plain"), ["record_kind", "shoot_date", "shoot_label"], "asset_id")
-    same = columns.jaccard(F.array_distinct("a.words"), F.array_distinct("b.words"))
-    return pairs.select(F.col("a.asset_id").alias("a"), F.col("b.asset_id").alias("b"), F.round(text_score(F.col("a.plain"), F.col("b.plain"), same), 4).alias("score")).where("score >= 0.35")
+    rows = rows.withColumn("plain", F.array_join(columns.tokens(F.col("text")), " "))
+    # what rounds to 0.35 may be a little below it
+    pairs = links.alike_in_blocks(rows, ["record_kind", "shoot_date", "shoot_label"], "asset_id", "plain", 0.35 - 1e-4)
+    return pairs.select("a", "b", F.round("score", 4).alias("score")).where("score >= 0.35")
 
 
 @_query("v26_winner_per_name", "SELECT k, first(id ORDER BY mention_count DESC NULLS LAST, id) AS winner, count(*) AS n FROM (SELECT DISTINCT id, mention_count, trim(regexp_replace(lower(canonical_name), '[^a-z0-9]+', ' ', 'g')) AS k FROM places WHERE canonical_name IS NOT NULL) GROUP BY 1", "places")
