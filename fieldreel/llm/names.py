@@ -33,8 +33,8 @@ _SIDE_OF = {w: k for k, ws in SIDES.items() for w in ws.split()}
 KEY_ROWS = 500_000
 #: A spelling may stand for another one slip away that is so many times as frequent, or if it is itself as rare as this.
 MORE_FREQUENT, RARE = 3, 2
-#: Spellings of a name that become keys at most; of longer lists the likeliest of each word is taken beside the words themselves.
-MOST_SPELLINGS = 256
+#: Keys that leave a task at once; a name may have any number of them.
+KEYS_AT_ONCE = 100_000
 #: Letters from which a word may be two words run together, in a name of other words and in one of that word alone.
 LONG_WORD, LONE_WORD = 9, 6
 #: Places in which two words must stand for one another before they do so everywhere.
@@ -121,27 +121,24 @@ def _cuts(words: list[str]) -> list[tuple[int, int]]:
     return [(k, i) for k, w in enumerate(words) if len(w) >= least for i in range(3, len(w) - 2)]
 
 
-def name_keys(fixed: str, kind: str, words: list[str], stands_for: dict[str, list[str]], halves: dict[str, list[str]]) -> set[tuple[int, bool]]:
-    """(key, of initials) of a name: names that share a key agree in their words up to one slip each, order, and two words run together; keys of initials hold one letter in place of a word."""
+def name_keys(fixed: str, kind: str, words: list[str], stands_for: dict[str, list[str]], halves: dict[str, list[str]]) -> Iterator[tuple[int, bool]]:
+    """(key, of initials) of a name, some more than once: names that share a key agree in their words up to one slip each, order, and two words run together; keys of initials hold one letter in place of a word.
+
+    All spellings come, one at a time, so their number (the product of those of the words) takes time but no memory.
+    """
     lists = [[stands_for.get(w, [w]) for w in words]]
     for k, i in _cuts(words):
         a, b = halves.get(words[k][:i]), halves.get(words[k][i:])
         if a and b:
             lists.append([*lists[0][:k], a, b, *lists[0][k + 1 :]])
-    out: set[tuple[int, bool]] = set()
     for n, options in enumerate(lists):
-        size = 1
-        for o in options:
-            size *= len(o)
-        spelt = product(*options) if size <= MOST_SPELLINGS else [[o[0] for o in options], [o[-1] for o in options]]
-        for spelling in spelt:
-            out.add((_hash(f"{fixed}|{' '.join(sorted(spelling))}"), False))
+        for spelling in product(*options):
+            yield _hash(f"{fixed}|{' '.join(sorted(spelling))}"), False
             if n == 0 and len(words) > 1:
                 letters = sum(len(w) == 1 for w in words)
                 for k, w in enumerate(spelling):
                     if (letters == 0 and len(w) > 1) or (letters == 1 and len(w) == 1):
-                        out.add((_hash(f"{fixed}|{kind}|{w[0]}|{' '.join(sorted([*spelling[:k], *spelling[k + 1 :]]))}"), True))
-    return out
+                        yield _hash(f"{fixed}|{kind}|{w[0]}|{' '.join(sorted([*spelling[:k], *spelling[k + 1 :]]))}"), True
 
 
 def _signed(h: int) -> int:
@@ -190,22 +187,26 @@ def _spellings(texts: DataFrame, learnt: DataFrame) -> DataFrame:
     near = near.union(learnt.join(asked.where("word").select(F.col("text").alias("other"), F.col("n").alias("m")), "other").select("text", "other", "m")).distinct()
     near = near.groupBy("text").agg(F.array_sort(F.collect_list(F.struct(-F.col("m"), F.col("other").alias("rep")))).alias("near"))
     reps = F.coalesce(F.transform("near", lambda x: x["rep"]), F.array().cast("array<string>"))
-    # the word itself last, so the first is the likeliest where there are too many
     own = F.when(F.col("word"), F.array("text")).otherwise(F.array().cast("array<string>"))
     return asked.join(near, "text", "left").select("text", "word", "half", F.concat(reps, own).alias("reps")).where("size(reps) > 1 OR (half AND size(reps) > 0)")
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["key", "initial", "node", "kind"]
+    out: set[tuple] = set()
     for batch in batches:
-        out = []
         for node, fixed, kind, joined, found in zip(batch["node"], batch["fixed"], batch["kind"], batch["words"], batch["found"], strict=True):
             stands_for, halves = {}, {}
             for f in found if found is not None else []:
                 halves[f["text"]] = list(f["reps"])
                 if f["word"]:
                     stands_for[f["text"]] = list(f["reps"])
-            out += [(_signed(k), initial, node, kind) for k, initial in name_keys(fixed, kind, joined.split(" "), stands_for, halves)]
-        yield pd.DataFrame(out, columns=["key", "initial", "node", "kind"])
+            for k, initial in name_keys(fixed, kind, joined.split(" "), stands_for, halves):
+                out.add((_signed(k), initial, node, kind))
+                if len(out) >= KEYS_AT_ONCE:
+                    yield pd.DataFrame(list(out), columns=columns)
+                    out = set()
+    yield pd.DataFrame(list(out), columns=columns).astype({"key": "int64", "initial": bool, "node": "int64"})
 
 
 def _odd_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
